@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, packing, secrets
+from . import decontamination, line_dedup, packing, quality_classifier, secrets, warc
 from .common import table
 from .pii import detect_pii
 from .quality_rules import quality_rules
@@ -19,6 +19,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score_documents(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_pii(table(spark, sf_dir, "documents"))
 
@@ -28,6 +33,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -45,8 +54,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii, op3_line_dedup, op5_secrets, op7_best_fit_packing, op8_decontamination, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_line_dedup, op4_warc, op5_secrets, op7_best_fit_packing, op8_decontamination, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op3_line_dedup": line_dedup.ORACLE_SQL, "op4_warc": warc.ORACLE_SQL}
