@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, packing, quality_classifier, secrets, warc
+from . import decontamination, line_dedup, ngram_join, packing, quality_classifier, secrets, warc
 from .common import table
 from .pii import detect_pii
 from .quality_rules import quality_rules
@@ -41,6 +41,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -54,7 +58,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_line_dedup, op4_warc, op5_secrets, op7_best_fit_packing, op8_decontamination, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_line_dedup, op4_warc, op5_secrets, op6_ngram_jaccard_join, op7_best_fit_packing, op8_decontamination, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
