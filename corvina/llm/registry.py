@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, ngram_join, packing, quality_classifier, secrets, warc
+from . import decontamination, line_dedup, ngram_join, packing, quality_classifier, secrets, substring_dedup, warc
 from .common import table
 from .pii import detect_pii
 from .quality_rules import quality_rules
@@ -57,8 +57,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_line_dedup, op4_warc, op5_secrets, op6_ngram_jaccard_join, op7_best_fit_packing, op8_decontamination, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_line_dedup, op4_warc, op5_secrets, op6_ngram_jaccard_join, op7_best_fit_packing, op8_decontamination, op9_quality_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
