@@ -210,3 +210,15 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = id_text(docs).withColumn("held_out", held_out(F.col("doc_id")))
     return rows.mapInArrow(tk.arrow_map(batch), "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, with all their columns, whose text is predicted to be good."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+        text = rows.column("text")
+        score = [shared.value.score(term_counts(*tk.flat(text.slice(at, BLOCK)))) for at in range(0, rows.num_rows, BLOCK)]
+        return rows.filter(pa.array(np.concatenate(score) >= THRESHOLD))
+
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(tk.arrow_map(batch), docs.schema)

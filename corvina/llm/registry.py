@@ -61,8 +61,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_line_dedup, op4_warc, op5_secrets, op6_ngram_jaccard_join, op7_best_fit_packing, op8_decontamination, op9_quality_rules, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_line_dedup, op4_warc, op5_secrets, op6_ngram_jaccard_join, op7_best_fit_packing, op8_decontamination, op9_quality_rules, op10_suffix_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
