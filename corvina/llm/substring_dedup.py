@@ -229,32 +229,15 @@ def _ranges(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
 
 def compare_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key; windows that an earlier one with the same key equals, as ranges of starts."""
-    held: list[pa.RecordBatch] = []
-
-    def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        doc, start, value = _windows(pa.Table.from_batches(rows).combine_chunks())
+    for rows in tk.whole_groups(batches, ["key"]):
+        doc, start, value = _windows(rows)
         order = np.lexsort((start, doc, value))
         doc, start, value = doc[order], start[order], value[order]
         fresh = np.ones(len(doc), bool)
         fresh[1:] = value[1:] != value[:-1]
         first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
         later = (doc != doc[first]) | (start != start[first])
-        return _ranges(doc[later], start[later])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column("key").to_numpy()
-        cut = int(np.searchsorted(key, key[-1]))
-        if cut:  # groups before the last are complete
-            yield settle([*held, batch.slice(0, cut)])
-            held = []
-        elif held and held[-1].column("key")[-1].as_py() != key[0]:
-            yield settle(held)
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield settle(held)
+        yield _ranges(doc[later], start[later])
 
 
 def wide_windows(texts: DataFrame) -> DataFrame:

@@ -127,3 +127,26 @@ def arrow_map(fn: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "tex
             yield fn(batch)
 
     return run
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows sorted by keys, in tables that never end within a group; one holds a batch or a group, whichever is larger."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k) for k in keys]
+        end = tuple(c[-1].as_py() for c in columns)
+        same = np.ones(batch.num_rows, bool)
+        for c, x in zip(columns, end):
+            same &= c.to_numpy(zero_copy_only=False) == x
+        cut = int(np.argmax(same))
+        if cut or held and last != end:
+            ready = [*held, batch.slice(0, cut)] if cut else held
+            yield pa.Table.from_batches(ready).combine_chunks()
+            held = []
+        held.append(batch.slice(cut))
+        last = end
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
