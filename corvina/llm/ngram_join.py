@@ -260,44 +260,55 @@ def verify(pairs: DataFrame, texts: DataFrame, a: str, b: str) -> DataFrame:
 MAX_DISTANCE = 1 - NUM / DEN
 
 
-def block_pairs(frame: pd.DataFrame) -> pd.DataFrame:
-    """Within a block of a region: far members against members, by the windows."""
-    far, near = frame[frame["side"] == 0], frame[frame["side"] == 1]
-    out: list[tuple[int, int]] = []
-    if len(far) and len(near):
-        n, d, ids, is_far = near["n"].to_numpy(), near["distance"].to_numpy(), near["doc_id"].to_numpy(), near["far"].to_numpy()
-        sizes = np.array([len(s) for s in near["sketch"]])
-        stacks = {z: np.stack([np.frombuffer(s, np.uint8) for s in near["sketch"].to_numpy()[sizes == z]]) for z in np.unique(sizes)}
-        for u, un, ud, us in zip(far["doc_id"], far["n"], far["distance"], far["sketch"]):
-            # A far member's distance to the pivot is a lower bound; a linked one's is exact.
-            able = (DEN * np.minimum(n, un) >= NUM * np.maximum(n, un)) & np.where(is_far, ids > u, ud - d <= MAX_DISTANCE + 1e-9)
-            own = np.frombuffer(us, np.uint8)
-            for z, stack in stacks.items():
-                at = np.flatnonzero(sizes == z)
-                ok = able[at]
-                if not ok.any():
-                    continue
-                size = min(len(own), z)
-                other = stack[ok]
-                if z > size:
-                    other = np.bitwise_xor.reduce(other.reshape(len(other), -1, size), axis=1)
-                h = np.bitwise_count(other ^ folded(own, size)).sum(axis=1)
-                hit = at[ok][(NUM + DEN) * h <= un + n[at[ok]]]
-                out += [(u, y) for y in ids[hit].tolist()]
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block: far members against members of other components, by the windows."""
+    for rows in tk.whole_groups(batches, ["pivot", "row", "col"]):
+        column = {c: rows.column(c).to_numpy() for c in ("pivot", "row", "col", "side", "doc_id", "n", "distance", "far", "label")}
+        raw, offsets = tk.flat(rows.column("sketch"))
+        size = np.diff(offsets)
+        fresh = np.ones(rows.num_rows, bool)
+        fresh[1:] = (column["pivot"][1:] != column["pivot"][:-1]) | (column["row"][1:] != column["row"][:-1]) | (column["col"][1:] != column["col"][:-1])
+        cuts = [*np.flatnonzero(fresh).tolist(), rows.num_rows]
+        out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            side, doc, n, d, far, label = (column[c][a:b] for c in ("side", "doc_id", "n", "distance", "far", "label"))
+            near = np.flatnonzero(side == 1)
+            for u in np.flatnonzero(side == 0).tolist():
+                # A far member's distance to the pivot is a lower bound; a linked one's is exact.
+                able = (DEN * np.minimum(n[near], n[u]) >= NUM * np.maximum(n[near], n[u])) & (label[near] != label[u])
+                able &= np.where(far[near], doc[near] > doc[u], d[u] - d[near] <= MAX_DISTANCE + 1e-9)
+                for y in _close(raw, offsets[a:b], size[a:b], u, near[able], n):
+                    out.append(np.array([[doc[u], doc[y]]]))
+        pairs = np.concatenate(out)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _close(raw: np.ndarray, offsets: np.ndarray, size: np.ndarray, u: int, others: np.ndarray, n: np.ndarray) -> list[int]:
+    """Which of the others the sketches leave possible for u."""
+    found: list[int] = []
+    own = raw[offsets[u] : offsets[u] + size[u]]
+    for z in np.unique(size[others]).tolist():
+        some = others[size[others] == z]
+        least = min(len(own), z)
+        stack = raw[offsets[some][:, None] + np.arange(z)]
+        if z > least:
+            stack = np.bitwise_xor.reduce(stack.reshape(len(some), -1, least), axis=1)
+        h = np.bitwise_count(stack ^ folded(own, least)).sum(axis=1)
+        found += some[(NUM + DEN) * h <= n[u] + n[some]].tolist()
+    return found
 
 
 def far_pairs(checked: DataFrame, texts: DataFrame, partitions: int) -> DataFrame:
-    """Candidate pairs within regions that have far members: checked has pivot, doc_id, distance and far."""
-    open_regions = checked.groupBy("pivot").agg(F.count("*").alias("members"), F.count_if("far").alias("n_far")).where("n_far > 0 and members > 1")
+    """Candidate pairs within regions that have far members: checked has pivot, doc_id, label (of its component so far), distance and far."""
+    open_regions = checked.groupBy("pivot").agg(F.count("*").alias("members"), F.count_if("far").alias("n_far"), F.min("label").alias("x"), F.max("label").alias("y")).where("n_far > 0 and x < y")
     cells = open_regions.select("pivot", F.ceil(F.col("members") / BLOCK).cast("int").alias("cols"), F.ceil(F.col("n_far") / BLOCK).cast("int").alias("rows"))
     members = checked.join(cells, "pivot").join(texts.select("doc_id", "n", "sketch"), "doc_id")
     spot = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     # Every far member meets every column of its row; every member is in one column, in all rows.
     near = members.select("*", F.lit(1).alias("side"), spot("cols").alias("col"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"))
     far = members.where("far").select("*", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("col"), spot("rows").alias("row"))
-    both = near.unionByName(far).select("pivot", "row", "col", "side", "doc_id", "n", "distance", "far", "sketch")
-    return both.repartition(partitions, "pivot", "row", "col").groupBy("pivot", "row", "col").applyInPandas(block_pairs, "a long, b long").distinct()
+    both = near.unionByName(far).select("pivot", "row", "col", "side", "doc_id", "n", "distance", "far", "label", "sketch")
+    return both.repartition(partitions, "pivot", "row", "col").sortWithinPartitions("pivot", "row", "col").mapInArrow(block_pairs, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -315,7 +326,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     buckets = 1 << max(8, (named.rdd.getNumPartitions() // 2).bit_length())
     buckets = min(buckets, 1 << 16)
     blobs = postings(named, hot, buckets).repartition(min(buckets, max(partitions, 64)), "bucket")
-    members = written(blobs.groupBy("bucket").applyInPandas(regions, REGIONS).groupBy("pivot", "doc_id").agg(F.max("n").alias("n"), F.max("pivot_n").alias("pivot_n")))
+    members = blobs.groupBy("bucket").applyInPandas(regions, REGIONS).groupBy("pivot", "doc_id").agg(F.max("n").alias("n"))
+
+    # Copies are compared as their class' first document.
+    classes = own.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    same = written(own.join(classes.where("last > first"), ["d1", "d2"]).where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    of = lambda name: same.select(F.col("b").alias(name), F.col("a").alias(f"{name}_first"))
+    members = members.join(of("pivot"), "pivot", "left").join(of("doc_id"), "doc_id", "left")
+    members = members.select(F.coalesce("pivot_first", "pivot").alias("pivot"), F.coalesce("doc_id_first", "doc_id").alias("doc_id"))
+    members = written(members.where("pivot <> doc_id").distinct())
 
     wanted = members.select("doc_id").union(members.select(F.col("pivot").alias("doc_id"))).distinct()
     texts = written(text_table(named, wanted))
@@ -324,13 +343,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     exact = written(verify(maybe, texts, "pivot", "doc_id").groupBy("pivot", "doc_id").agg(F.max("linked").alias("linked"), F.min("distance").alias("distance")))
     links = exact.where("linked").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
 
-    checked = bounds.join(exact, ["pivot", "doc_id"], "left").select("pivot", "doc_id", F.coalesce("distance", "at_least").alias("distance"), (~F.coalesce("linked", F.lit(False))).alias("far"))
-    more = written(far_pairs(checked, texts, partitions))
-    links = links.unionByName(verify(more, texts, "a", "b").where("linked").select("a", "b"))
+    so_far = components(links.unionByName(same)).select(F.col("component").alias("a"), F.col("node").alias("b"))
 
-    classes = own.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    classes = classes.where("last > first").drop("last")
-    same = own.join(classes, ["d1", "d2"]).where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    found = components(links.unionByName(same))
+    checked = bounds.join(exact, ["pivot", "doc_id"], "left").join(so_far.select(F.col("b").alias("doc_id"), F.col("a").alias("label")), "doc_id", "left")
+    checked = written(checked.select("pivot", "doc_id", F.coalesce("label", "doc_id").alias("label"), F.coalesce("distance", "at_least").alias("distance"), (~F.coalesce("linked", F.lit(False))).alias("far")))
+    more = written(far_pairs(checked, texts, partitions))
+    found = components(so_far.unionByName(verify(more, texts, "a", "b").where("linked").select("a", "b")))
     out = own.join(found, own["doc_id"] == found["node"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
