@@ -3,9 +3,10 @@
 The corpus is indexed in self-contained segments (one row each: documents of a few MB, with a
 posting list of word positions for every term), stored in the shared folder. Test windows are
 looked up in every segment: the posting lists of a window's terms are taken from the rarest (in
-that segment) to the most frequent, each shifted by the term's place in the window, and
+the whole corpus) to the most frequent, each shifted by the term's place in the window, and
 intersected. What is left are exact phrase occurrences; the same lists, intersected with a
-tolerance for the rarest terms, give proximity matches.
+tolerance for the rarest terms, give proximity matches. Neither depends on how the corpus is
+partitioned.
 
 Only terms that the test items contain are given posting lists. The test set is read in blocks of
 bounded size, so that no broadcast grows with it; results of several blocks are merged by document.
@@ -115,8 +116,26 @@ def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     return id_text(docs).mapInArrow(run, SEGMENT)
 
 
+def occurrences(index: DataFrame, n_terms: int) -> np.ndarray:
+    """How often each term stands in the corpus; what is gathered is a number for each test term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            for kinds, sizes in zip(batch.column("terms"), batch.column("sizes")):
+                total[np.frombuffer(kinds.as_py(), "<u4")] += np.frombuffer(sizes.as_py(), "<u4")
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
+
+    found = index.select("terms", "sizes").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(n_terms, np.int64)
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
 class Segment:
-    def __init__(self, row: dict, n_terms: int):
+    def __init__(self, row: dict, total: np.ndarray):
+        n_terms, self.total = len(total), total
         kinds, sizes = (np.frombuffer(row[k], "<u4").astype(np.int64) for k in ("terms", "sizes"))
         self.postings = np.frombuffer(row["postings"], "<u4").astype(np.int64)
         self.size = np.zeros(n_terms, np.int64)
@@ -140,11 +159,10 @@ class Segment:
         exact, near = [(none, none)], [(none, none)]
         if not len(self.keys):
             return *exact[0], *near[0]
-        size = self.size[rows]
-        rare = np.argsort(size, axis=1, kind="stable")
+        rare = np.argsort(self.total[rows], axis=1, kind="stable")
         width = rows.shape[1]
         few = min(RARE_TERMS, width)
-        size = np.take_along_axis(size, rare, axis=1)
+        size = np.take_along_axis(self.size[rows], rare, axis=1)
         alive = np.flatnonzero(size[:, :few].min(axis=1) > 0)
         load = np.cumsum(size[alive, 0])
         cut = [0, *np.searchsorted(load, np.arange(CANDIDATES, int(load[-1]) if len(load) else 0, CANDIDATES)).tolist(), len(alive)]
@@ -173,15 +191,15 @@ class Segment:
         return np.searchsorted(self.base, place, "right") - 1
 
 
-def look_up(index: DataFrame, block: TestBlock) -> DataFrame:
+def look_up(index: DataFrame, block: TestBlock, total: np.ndarray) -> DataFrame:
     """A row for every document: runs of hit words (counted in the document), items found exactly and nearly."""
-    shared = index.sparkSession.sparkContext.broadcast(block)
+    shared = index.sparkSession.sparkContext.broadcast((block, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = shared.value
+        test, totals = shared.value
         for batch in batches:
             for row in batch.to_pylist():
-                segment = Segment(row, len(test.terms))
+                segment = Segment(row, totals)
                 n = len(segment.n_words)
                 items: list[set] = [set() for _ in range(n)]
                 near: list[set] = [set() for _ in range(n)]
@@ -226,13 +244,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for t in tests:  # windows number the terms of the whole index
         move = np.searchsorted(terms, t.terms)
         t.windows = [(move[rows] if len(rows) else rows, w, i) for rows, w, i in t.windows]
-        t.terms = terms if len(tests) == 1 else np.zeros(len(terms), np.uint64)
+        t.terms = np.zeros(0, np.uint64)  # not needed for look-ups
     index = written(build_index(docs, terms))
-    out = look_up(index, tests[0])
+    total = occurrences(index, len(terms))
+    out = look_up(index, tests[0], total)
     if len(tests) == 1:
         return out
     for t in tests[1:]:
-        out = out.unionByName(look_up(index, t))
+        out = out.unionByName(look_up(index, t, total))
     joined = out.groupBy("segment", "place").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),

@@ -267,6 +267,14 @@ def test_proximity(spark):
     assert got[1] == (1, 1) and got[2] == (0, 1)
 
 
+def test_proximity_does_not_depend_on_partitions(spark):
+    words = rows.PASSAGE.split()
+    texts = [" ".join([*rows.prose(i, 30).split(), *words[:i], *["extra"] * (i % 3), *words[i:]]) for i in range(40)]
+    df, benchmark = rows.documents(spark, texts, extra=False), spark.createDataFrame(rows.ITEMS, "item_id long, text string")
+    found = [by_id(decontamination.summary(decontamination.contamination(df.repartition(n), benchmark)), "doc_id", "n_hit", "n_items", "n_near_items") for n in (1, 17)]
+    assert found[0] == found[1] and any(x[2] for x in found[0].values())
+
+
 def test_quality_rules(corpus):
     df, texts = corpus
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
