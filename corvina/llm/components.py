@@ -9,8 +9,12 @@ from .common import written
 
 
 def _with_min(edges: DataFrame) -> DataFrame:
-    """u, v, and m: the least of u and its neighbours in this table. Minima are taken before the shuffle; the join's hot keys are split by AQE."""
-    least = edges.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
+    """u, v, and m: the least of u and its neighbours in this table.
+
+    Minima are taken before the shuffle, and written: Spark can split a hot key of the join only if
+    neither side is the aggregate itself.
+    """
+    least = written(edges.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")))
     return edges.join(least, F.col("u") == F.col("k")).select("u", "v", F.least("u", "m").alias("m"))
 
 
@@ -27,7 +31,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_min(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = written(_with_min(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         small = _with_min(large)
         step = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         now = written(step.where("u > v").distinct())

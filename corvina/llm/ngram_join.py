@@ -8,7 +8,9 @@ which a similarity of at least 3/4 means |A ^ B| <= (|A| + |B|) / 7.
    seldom shingles first, then by hash). The documents that hold such a shingle, cut where sizes
    differ too much, make a region, and its smallest document is the region's pivot. Every document
    is replicated to the regions (pivots) of all its first shingles, so that two linked documents
-   meet in at least one; most regions have one document and end here.
+   meet in at least one; most regions have one document and end here. Regions of seldom shingles
+   are made from packed postings, bucket by bucket; those of frequent ones by joins, whose hot
+   keys Spark splits, so that a shingle of a third of all documents is in no single task.
 3. Distances to pivots are taken exactly. A document within 1/4 of the pivot is linked with it.
    Members of a region that are both linked with the pivot are in one component and are not
    compared. Only regions with members beyond 1/4 are joined further: their far members meet all
@@ -42,9 +44,12 @@ from .components import components
 K = 5
 #: A similarity of NUM / DEN or more links.
 NUM, DEN = 3, 4
-#: A shingle in this share of a task's documents (and in HOT_LEAST) counts as frequent: there are at most
-#: (mean set size / HOT_SHARE) such shingles a task, whatever the corpus' size.
-HOT_SHARE, HOT_LEAST = 1 / 256, 16
+#: A shingle in this share of a task's documents (and in HOT_LEAST) is a candidate for a frequent one; it is
+#: one if candidates of all tasks add up to HOT_TOTAL of all documents. So there are at most
+#: (mean set size / HOT_TOTAL) frequent shingles, whatever the corpus' size.
+HOT_SHARE, HOT_LEAST, HOT_TOTAL = 1 / 256, 16, 1 / 4096
+#: Buckets of seldom shingles at most.
+MOST_BUCKETS = 1 << 20
 #: Members of a region that one task compares with one another.
 BLOCK = 2000
 
@@ -131,35 +136,49 @@ def set_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def postings(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Blobs of postings of documents' first shingles: bucket, values (without the bucket's bits), doc ids, set sizes."""
+    """Blobs of postings of documents' first shingles: bucket, values (without the bucket's bits), doc ids, set sizes.
+
+    Postings of frequent shingles (by their number in hot) have buckets below 0, dealt out evenly.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
+    def blobs(bucket: np.ndarray, value: np.ndarray, doc: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(bucket, kind="stable")
+        kinds, first = np.unique(bucket[order], return_index=True)
+        cut = [*first.tolist(), len(order)]
+        value, doc, n = value[order], doc[order], n[order]
+        parts = [slice(a, b) for a, b in zip(cut[:-1], cut[1:])]
+        for at in range(0, len(parts), 64):
+            some = parts[at : at + 64]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(kinds[at : at + 64], pa.int32()),
+                    pa.array([(value[p] >> np.uint64(16)).astype("<u4").tobytes() for p in some], pa.binary()),
+                    pa.array([value[p].astype("<u2").tobytes() for p in some], pa.binary()),
+                    pa.array([doc[p].tobytes() for p in some], pa.binary()),
+                    pa.array([n[p].astype("<u4").tobytes() for p in some], pa.binary()),
+                ],
+                names=["bucket", "high", "low", "docs", "sizes"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        from pyspark import TaskContext
+
+        pending: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        turn = TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal turn
             if not pending:
                 return
-            value, doc, n = (np.concatenate(x) for x in zip(*pending))
+            value, doc, n, frequent = (np.concatenate(x) for x in zip(*pending))
             pending.clear()
-            bucket = (value & np.uint64(buckets - 1)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            kinds, first = np.unique(bucket[order], return_index=True)
-            cut = [*first.tolist(), len(order)]
-            value, doc, n = value[order] >> np.uint64(16), doc[order], n[order]
-            parts = [slice(a, b) for a, b in zip(cut[:-1], cut[1:])]
-            for at in range(0, len(parts), 64):
-                some = parts[at : at + 64]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(kinds[at : at + 64]),
-                        pa.array([(value[p] >> np.uint64(16)).astype("<u4").tobytes() for p in some], pa.binary()),
-                        pa.array([value[p].astype("<u2").tobytes() for p in some], pa.binary()),
-                        pa.array([doc[p].tobytes() for p in some], pa.binary()),
-                        pa.array([n[p].astype("<u4").tobytes() for p in some], pa.binary()),
-                    ],
-                    names=["bucket", "high", "low", "docs", "sizes"],
-                )
+            seldom = ~frequent
+            yield from blobs((value[seldom] & np.uint64(buckets - 1)).astype(np.int32), value[seldom] >> np.uint64(16), doc[seldom], n[seldom])
+            if frequent.any():
+                number = np.searchsorted(shared.value, value[frequent]).astype(np.uint64)
+                yield from blobs((-1 - (turn + np.arange(len(number)) // 4096) % buckets).astype(np.int32), number, doc[frequent], n[frequent])
+                turn += len(number) // 4096 + 1
 
         size = 0
         for batch in tk.slices(batches):
@@ -177,7 +196,7 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
                 many = prefix_size(len(values))
                 rare = values[~frequent][:many]
                 chosen = np.concatenate([rare, values[frequent][: many - len(rare)]])
-                pending.append((chosen, np.full(many, doc, np.int64), np.full(many, len(values), np.int64)))
+                pending.append((chosen, np.full(many, doc, np.int64), np.full(many, len(values), np.int64), np.arange(many) >= len(rare)))
                 size += many
             if size > 1 << 20:
                 yield from flush()
@@ -187,14 +206,16 @@ def postings(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, high binary, low binary, docs binary, sizes binary")
 
 
-REGIONS = "pivot long, pivot_n long, doc_id long, n long"
+REGIONS = "hot long, pivot long, doc_id long, n long"
 
 
 def regions(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of a bucket: every member of every region, with the region's pivot; each pair once."""
+    """Of a bucket: every member of every region, with the region's pivot (hot: -1); each pair once. Postings of frequent shingles are only unpacked (hot: their number)."""
     high, low = (np.frombuffer(b"".join(frame[c]), t).astype(np.uint64) for c, t in (("high", "<u4"), ("low", "<u2")))
     doc, n = np.frombuffer(b"".join(frame["docs"]), np.int64), np.frombuffer(b"".join(frame["sizes"]), "<u4").astype(np.int64)
     value = high << np.uint64(16) | low
+    if frame["bucket"].iloc[0] < 0:
+        return pd.DataFrame({"hot": value.astype(np.int64), "pivot": doc, "doc_id": doc, "n": n})
     _, inverse, count = np.unique(value, return_inverse=True, return_counts=True)
     many = np.flatnonzero(count[inverse] > 1)
     value, doc, n = inverse[many], doc[many], n[many]
@@ -206,10 +227,22 @@ def regions(frame: pd.DataFrame) -> pd.DataFrame:
     order = np.lexsort((doc, region))
     region, doc, n = region[order], doc[order], n[order]
     first = np.flatnonzero(np.diff(region, prepend=-1))
-    out = pd.DataFrame({"pivot": doc[first][region], "pivot_n": n[first][region], "doc_id": doc, "n": n})
+    out = pd.DataFrame({"hot": np.full(len(doc), -1), "pivot": doc[first][region], "doc_id": doc, "n": n})
     return out[out.pivot != out.doc_id].drop_duplicates(["pivot", "doc_id", "n"])
 
 
+def frequent_regions(found: DataFrame) -> DataFrame:
+    """pivot and doc_id of the regions of frequent shingles, from their postings.
+
+    Sizes are classed by powers of DEN / NUM; a document takes part in its class and the one above,
+    so that two sets of possible similarity share one. Pivots are minima, taken before the shuffle.
+    """
+    size_class = F.floor(F.log("n") / F.log(F.lit(DEN / NUM)))
+    rows = found.where("hot >= 0").select("hot", "doc_id", F.explode(F.array(size_class, size_class + 1)).alias("class"))
+    pivots = written(rows.groupBy("hot", "class").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("last > pivot").drop("last"))
+    return rows.join(pivots, ["hot", "class"]).where("doc_id > pivot").select("pivot", "doc_id").distinct()
+
+
 def text_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, n, sketch and text of the wanted documents."""
 
@@ -301,7 +334,7 @@ def _close(raw: np.ndarray, offsets: np.ndarray, size: np.ndarray, u: int, other
 def far_pairs(checked: DataFrame, texts: DataFrame, partitions: int) -> DataFrame:
     """Candidate pairs within regions that have far members: checked has pivot, doc_id, label (of its component so far), distance and far."""
     open_regions = checked.groupBy("pivot").agg(F.count("*").alias("members"), F.count_if("far").alias("n_far"), F.min("label").alias("x"), F.max("label").alias("y")).where("n_far > 0 and x < y")
-    cells = open_regions.select("pivot", F.ceil(F.col("members") / BLOCK).cast("int").alias("cols"), F.ceil(F.col("n_far") / BLOCK).cast("int").alias("rows"))
+    cells = written(open_regions.select("pivot", F.ceil(F.col("members") / BLOCK).cast("int").alias("cols"), F.ceil(F.col("n_far") / BLOCK).cast("int").alias("rows")))
     members = checked.join(cells, "pivot").join(texts.select("doc_id", "n", "sketch"), "doc_id")
     spot = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     # Every far member meets every column of its row; every member is in one column, in all rows.
@@ -318,19 +351,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     partitions = parallelism(spark)
     sets = written(base.mapInArrow(set_pass, SETS))
     own = sets.where("kind = 0").select("doc_id", "n", "d1", "d2")
-    # Bounded: see HOT_SHARE.
-    hot = np.unique(sets.where("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).select("d1").toArrow().column("d1").to_numpy()).view(np.uint64)
-    hot = np.sort(hot)
+    # Bounded: see HOT_TOTAL.
+    often = sets.where("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).where(F.col("n") >= own.count() * HOT_TOTAL)
+    hot = np.sort(often.select("d1").toArrow().column("d1").to_numpy().view(np.uint64))
 
     named = base.where("doc_id is not null")
-    buckets = 1 << max(8, (named.rdd.getNumPartitions() // 2).bit_length())
-    buckets = min(buckets, 1 << 16)
+    buckets = min(MOST_BUCKETS, 1 << max(8, (named.rdd.getNumPartitions() // 2).bit_length()))
     blobs = postings(named, hot, buckets).repartition(min(buckets, max(partitions, 64)), "bucket")
-    members = blobs.groupBy("bucket").applyInPandas(regions, REGIONS).groupBy("pivot", "doc_id").agg(F.max("n").alias("n"))
+    found = written(blobs.groupBy("bucket").applyInPandas(regions, REGIONS))
+    members = found.where("hot < 0").select("pivot", "doc_id").distinct().unionByName(frequent_regions(found))
 
     # Copies are compared as their class' first document.
-    classes = own.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    same = written(own.join(classes.where("last > first"), ["d1", "d2"]).where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    classes = written(own.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first"))
+    same = written(own.join(classes, ["d1", "d2"]).where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
     of = lambda name: same.select(F.col("b").alias(name), F.col("a").alias(f"{name}_first"))
     members = members.join(of("pivot"), "pivot", "left").join(of("doc_id"), "doc_id", "left")
     members = members.select(F.coalesce("pivot_first", "pivot").alias("pivot"), F.coalesce("doc_id_first", "doc_id").alias("doc_id"))

@@ -141,6 +141,17 @@ def test_far_members_of_regions(spark, monkeypatch, seed, block):
     assert got == brute.near_duplicates(dict(enumerate(texts, 1)))
 
 
+def test_frequent_shingles(spark):
+    """Most documents are near copies of one another, so that all their first shingles are frequent."""
+    base = rows.prose(8, 60)
+    texts = [*(rows.changed(base, i, i % 4) for i in range(240)), *(rows.prose(i, 25) for i in range(60)), *(base + " " + rows.prose(i, 8) for i in range(30))]
+    df = rows.documents(spark, texts, extra=False)
+    sets = df.mapInArrow(ngram_join.set_pass, ngram_join.SETS)
+    assert sets.where("kind = 1").count() > 20
+    got = by_id(ngram_join.jaccard_components(df), "doc_id", "n_shingles", "component_id")
+    assert got == brute.near_duplicates(dict(enumerate(texts, 1)))
+
+
 def test_limit_is_met_exactly(spark):
     words = [f"w{i}" for i in range(200)]
     # 60 shingles of which 60 / 80 are shared, and one fewer.
