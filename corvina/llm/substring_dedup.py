@@ -43,6 +43,7 @@ LENGTH, GRAM = 100, 32
 SPREAD = LENGTH - GRAM + 1  # anchors that a window can have
 #: Text of a task whose runs are compared before the shuffle; different runs of one anchor that one task compares.
 FLUSH_BYTES, WIDE = 24 << 20, 1 << 16
+MOST_BUCKETS = 1 << 20
 
 RUNS = "kind int, key long, doc_id long, lo long, hi long, back int"
 
@@ -104,10 +105,13 @@ def run_blobs(docs: DataFrame, buckets: int) -> DataFrame:
         return bucket, False, len(doc), where, b"".join(x.tobytes() for x in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         pending: list[tuple[np.ndarray, ...]] = []
-        size = 0
+        size, turn = 0, TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal turn
             if not pending:
                 return
             doc, lo, hi, back, gram, whole = (np.concatenate(x) for x in zip(*pending))
@@ -121,6 +125,9 @@ def run_blobs(docs: DataFrame, buckets: int) -> DataFrame:
             bucket = (gram & np.uint64(buckets - 1)).astype(np.int64)
             rows = []
             for settled, chosen in ((False, np.flatnonzero(fresh)), (True, np.flatnonzero(later))):
+                if settled:  # nothing is compared with these: they are dealt out evenly
+                    bucket[chosen] = (turn + np.arange(len(chosen)) // 4096) % buckets
+                    turn += len(chosen) // 4096 + 1
                 chosen = chosen[np.argsort(bucket[chosen], kind="stable")]
                 kinds, at = np.unique(bucket[chosen], return_index=True)
                 for b, part in zip(kinds.tolist(), np.split(chosen, at[1:])):
@@ -154,8 +161,8 @@ def _unpacked(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return doc, lo, lo + more, back
 
 
-def compare_runs(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of a bucket: kind 0, repeated runs; kind 1, first runs of anchors that have several; kind 2, of more than WIDE."""
+def compare_runs(frame: pd.DataFrame, wide: int = WIDE) -> pd.DataFrame:
+    """Of a bucket: kind 0, repeated runs; kind 1, first runs of anchors that have several; kind 2, of more than `wide`."""
     done = _unpacked(frame[frame["settled"]])
     mine = frame[~frame["settled"]]
     doc, lo, hi, back = _unpacked(mine)
@@ -177,9 +184,9 @@ def compare_runs(frame: pd.DataFrame) -> pd.DataFrame:
         later = (doc != doc[first]) | (lo != lo[first])
         classes = np.bincount(group[fresh]) if len(doc) else np.zeros(0, np.int64)
         several = fresh & (classes[group] > 1) if len(doc) else fresh
-        key = (gram << np.uint64(16)).view(np.int64) | np.int64(int(frame["bucket"].iloc[0]))
+        key = (gram << np.uint64(16)).view(np.int64) | np.int64(int(frame["bucket"].iloc[0]) & 0xFFFF)
         out.append((np.zeros(later.sum(), np.int32), key[later], doc[later], lo[later], hi[later], back[later]))
-        kind = np.where(classes[group[several]] > WIDE, 2, 1).astype(np.int32) if len(doc) else np.zeros(0, np.int32)
+        kind = np.where(classes[group[several]] > wide, 2, 1).astype(np.int32) if len(doc) else np.zeros(0, np.int32)
         out.append((kind, key[several], doc[several], lo[several], hi[several], back[several]))
     columns = [np.concatenate(x) for x in zip(*out)]
     return pd.DataFrame(dict(zip(("kind", "key", "doc_id", "lo", "hi", "back"), columns)))
@@ -285,9 +292,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, lo, hi: windows of LENGTH bytes that start at lo to hi also start earlier in the corpus."""
     named = id_text(docs).where("doc_id is not null")
     partitions = parallelism(docs.sparkSession)
-    buckets = min(1 << 16, 1 << max(8, (named.rdd.getNumPartitions() // 2).bit_length()))
+    buckets = min(MOST_BUCKETS, 1 << max(8, (named.rdd.getNumPartitions() // 2).bit_length()))
     blobs = run_blobs(named, buckets).repartition(min(buckets, max(partitions, 64)), "bucket")
-    found = written(blobs.groupBy("bucket").applyInPandas(compare_runs, RUNS))
+    wide = WIDE
+    found = written(blobs.groupBy("bucket").applyInPandas(lambda frame: compare_runs(frame, wide), RUNS))
     narrow = run_texts(named, found.where("kind = 1")).repartition(partitions, "key").sortWithinPartitions("key")
     wide = run_texts(named, found.where("kind = 2"))
     out = found.where("kind = 0").select("doc_id", "lo", "hi").unionByName(written(narrow.mapInArrow(compare_windows, "doc_id long, lo long, hi long")))
