@@ -19,6 +19,7 @@ Empty tables give no rows, or only clean ones. Extra columns are ignored.
 from __future__ import annotations
 
 import math
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -277,3 +278,38 @@ def summary(found: DataFrame) -> DataFrame:
         F.size("near_items").cast("long").alias("n_near_items"),
         F.array_join("items", ",").alias("items"),
     )
+
+
+ORACLE_SQL = rf"""
+WITH t AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+l AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM t),
+win AS (
+  SELECT id AS item, i AS pos, words[i : i + least({WINDOW}, len(words)) - 1] AS words
+  FROM (SELECT id, words, unnest(range(1, len(words) - least({WINDOW}, len(words)) + 2)) AS i FROM l WHERE kind = 'i' AND len(words) > 0)),
+sizes AS (SELECT DISTINCT len(words) AS n FROM win),
+spots AS (
+  SELECT id AS doc, i AS pos, n, array_to_string(words[i : i + n - 1], ' ') AS phrase
+  FROM (SELECT id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM l, sizes WHERE kind = 'd' AND len(words) >= n)),
+hits AS (SELECT doc, spots.pos, n, item FROM spots JOIN win ON phrase = array_to_string(win.words, ' ') AND n = len(win.words)),
+covered AS (SELECT doc, count(DISTINCT place) AS n_hit FROM (SELECT doc, unnest(range(pos, pos + n)) AS place FROM hits) GROUP BY doc),
+found AS (SELECT doc, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc, CAST(item AS VARCHAR) AS item FROM hits) GROUP BY doc),
+post AS (SELECT id AS doc, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM l WHERE kind = 'd'),
+total AS (SELECT word, count(*) AS n FROM post GROUP BY word),
+terms AS (
+  SELECT item, pos, word, k, row_number() OVER (PARTITION BY item, pos ORDER BY coalesce(n, 0), k) AS nth
+  FROM (SELECT item, pos, unnest(words) AS word, generate_subscripts(words, 1) AS k FROM win) LEFT JOIN total USING (word)),
+rare AS (SELECT * FROM terms WHERE nth <= {RARE_TERMS}),
+kept AS (SELECT p.* FROM post p SEMI JOIN rare ON rare.word = p.word),
+close AS (
+  SELECT a.doc, r.item, r.pos, a.place, count(DISTINCT o.nth) AS n, any_value(r.width) AS all_n
+  FROM (SELECT *, count(*) OVER (PARTITION BY item, pos) AS width FROM rare) r JOIN kept a ON a.word = r.word AND r.nth = 1
+  JOIN rare o ON o.item = r.item AND o.pos = r.pos
+  JOIN kept q ON q.doc = a.doc AND q.word = o.word AND abs(q.place - (a.place - r.k + o.k)) <= CASE WHEN o.nth = 1 THEN 0 ELSE {SLOP} END
+  GROUP BY a.doc, r.item, r.pos, a.place),
+near AS (SELECT doc, count(DISTINCT item) AS n_near_items FROM close WHERE n = all_n GROUP BY doc)
+SELECT id AS doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items, coalesce(items, '') AS items
+FROM l LEFT JOIN covered c ON c.doc = id LEFT JOIN found f ON f.doc = id LEFT JOIN near e ON e.doc = id WHERE kind = 'd'
+"""

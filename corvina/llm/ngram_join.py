@@ -29,6 +29,7 @@ ignored; empty tables give no rows.
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -384,3 +385,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     found = components(so_far.unionByName(verify(more, texts, "a", "b").where("linked").select("a", "b")))
     out = own.join(found, own["doc_id"] == found["node"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+ORACLE_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {K} THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - {K} + 2), lambda i: array_to_string(words[i : i + {K} - 1], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE {DEN} * common >= {NUM} * (x.n + y.n - common)),
+r(doc_id, least) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.least FROM r JOIN l ON l.a = r.doc_id WHERE r.least < l.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.least) AS component_id
+FROM documents d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""

@@ -72,4 +72,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": line_dedup.ORACLE_SQL, "op4_warc": warc.ORACLE_SQL}
+    return {
+        "op3_line_dedup": line_dedup.ORACLE_SQL,
+        "op4_warc": warc.ORACLE_SQL,
+        "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
+        "op8_decontamination": decontamination.ORACLE_SQL,
+        "op10_suffix_dedup": substring_dedup.ORACLE_SQL,
+    }

@@ -310,3 +310,20 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     base = id_text(docs)
     joined = base.join(by_doc, base["doc_id"] == by_doc["id"], "left").select("doc_id", "text", "found")
     return joined.mapInArrow(tk.arrow_map(remove), REMOVED)
+
+
+ORACLE_SQL = f"""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, {2 * LENGTH})) AS h FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - {LENGTH} + 1)) AS i FROM t)),
+f AS (SELECT h, min(struct_pack(d := doc_id, i := i)) AS first FROM w GROUP BY h HAVING count(*) > 1),
+later AS (SELECT doc_id, i FROM w JOIN f USING (h) WHERE doc_id <> first.d OR i <> first.i),
+marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS fresh FROM later),
+numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+gone AS (SELECT doc_id, run, min(i) AS a, max(i) + {LENGTH} AS b FROM numbered GROUP BY doc_id, run),
+sums AS (SELECT doc_id, sum(b - a) AS n, count(*) AS spans FROM gone GROUP BY doc_id),
+edges AS (SELECT doc_id, a, b FROM gone UNION ALL SELECT doc_id, length(x) // 2, NULL FROM t),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b NULLS LAST), 0) AS a, a AS b FROM edges),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * gaps.a + 1, 2 * (gaps.b - gaps.a)), '' ORDER BY gaps.a) AS x FROM gaps JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(t.x) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(kept.x)) AS kept_sha256
+FROM t JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
