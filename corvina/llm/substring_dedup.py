@@ -11,8 +11,8 @@ times the input to disk, so the order of all suffixes is induced from a sample,
    place). All but the first of equal runs are repeats in every window: the order of those windows
    is induced from their anchors, without looking at one of them.
 3. Where runs with one anchor string differ, the runs' first occurrences are read again and their
-   windows sorted one by one; anchors with more than WIDE different runs do that by window hash
-   over all tasks instead of in one.
+   windows sorted one by one; anchors with more than WIDE different runs (of up to 69 windows
+   each) do that by window hash over all tasks instead of in one.
 
 Within a map task, all but the first of equal runs are settled before the shuffle. Spark's sorts
 and shuffles spill to disk, so no shard has to fit in memory. The result is exact (64-bit hashes
@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -42,7 +42,7 @@ from .common import id_text, parallelism, written
 LENGTH, GRAM = 100, 32
 SPREAD = LENGTH - GRAM + 1  # anchors that a window can have
 #: Text of a task whose runs are compared before the shuffle; different runs of one anchor that one task compares.
-FLUSH_BYTES, WIDE = 24 << 20, 1 << 16
+FLUSH_BYTES, WIDE = 24 << 20, 1 << 13
 MOST_BUCKETS = 1 << 20
 
 RUNS = "kind int, key long, doc_id long, lo long, hi long, back int"
@@ -256,9 +256,11 @@ def wide_windows(texts: DataFrame) -> DataFrame:
                 doc, start, value = _windows(batch.slice(at, 4096))
                 yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(value.view(np.int64))], names=["doc_id", "start", "value"])
 
-    rows = texts.mapInArrow(run, "doc_id long, start long, value long")
-    first = F.first(F.struct("doc_id", "start")).over(Window.partitionBy("value").orderBy("doc_id", "start"))
-    later = rows.withColumn("first", first).where((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.start") != F.col("start")))
+    rows = written(texts).mapInArrow(run, "doc_id long, start long, value long")
+    # Minima are taken before the shuffle, and written, so that Spark can split a hot key of the join.
+    place = F.struct("doc_id", "start")
+    firsts = written(rows.groupBy("value").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("last > first").select("value", "first"))
+    later = rows.join(firsts, "value").where(F.struct("doc_id", "start") > F.col("first"))
     return later.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi"))
 
 

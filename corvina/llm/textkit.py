@@ -12,7 +12,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text handled at once inside a task; a longer single text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | U64(1)
