@@ -105,17 +105,20 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def shaped(counts: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
+def shaped(counts: np.ndarray, weight: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     """Square roots of shares, weighted and with each kind of term scaled to its part."""
-    x = np.sqrt(counts)
-    if weight is not None:
-        x *= weight
+    x = np.sqrt(counts, out=out)
+    x *= weight
     for p, share in enumerate(PART_WEIGHTS):
         part = x[:, PARTS[p] : PARTS[p + 1]]
-        part *= np.sqrt(share) / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12)
+        part *= np.sqrt(share, dtype=np.float32) / np.maximum(np.sqrt(np.einsum("ij,ij->i", part, part)), 1e-12)[:, None]
     return x
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
 @dataclass
 class Model:
     """weight: of terms; axes: terms to latent dimensions; vectors, labels, votes: of the sample; prior: share of label 1."""
@@ -128,8 +131,7 @@ class Model:
     votes: np.ndarray | None = None
 
     def embed(self, counts: np.ndarray) -> np.ndarray:
-        x = shaped(counts, self.weight) @ self.axes
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        return unit(shaped(counts, self.weight) @ self.axes)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         if self.vectors is None:
@@ -143,15 +145,15 @@ class Model:
 
 
 def fit(counts: np.ndarray, labels: np.ndarray, totals: dict[int, int]) -> Model:
-    """counts and labels of the sample; totals: labelled rows of each label that it stands for."""
+    """counts (overwritten) and labels of the sample; totals: labelled rows of each label that it stands for."""
     everything = sum(totals.values())
     prior = totals.get(1, 0) / everything if everything else 1.0
     if len(set(labels.tolist())) < 2:
         return Model(prior)
-    df = (counts > 0).sum(axis=0)
+    df = np.count_nonzero(counts, axis=0)
     weight = (np.log((1 + len(counts)) / (1 + df)) + 0.5).astype(np.float32)
     weight[PARTS[3] :] = 1.0
-    x = shaped(counts, weight)
+    x = shaped(counts, weight, out=counts)
     rank = min(RANK, *x.shape)
     rng = np.random.default_rng(7)
     basis = rng.standard_normal((x.shape[1], rank + 16)).astype(np.float32)
@@ -159,7 +161,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, totals: dict[int, int]) -> Model
         basis, _ = np.linalg.qr(x.T @ (x @ basis))
     _, _, right = np.linalg.svd(x @ basis, full_matrices=False)
     model = Model(prior, weight, np.ascontiguousarray(basis @ right[:rank].T, np.float32))
-    model.vectors = model.embed(counts).astype(np.float32)
+    model.vectors = unit(x @ model.axes).astype(np.float32)
     model.labels = labels.astype(np.float64)
     sampled = {y: int((labels == y).sum()) for y in (0, 1)}
     model.votes = np.array([totals[int(y)] / sampled[int(y)] for y in labels]) / everything * len(labels)
@@ -175,8 +177,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     totals = {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()}
     picked = None
+    spread = F.xxhash64("doc_id")
     for y in (0, 1):
-        one = usable.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS)
+        one = usable.where(F.col("quality") == y)
+        if totals.get(y, 0) > 8 * PER_CLASS:  # so that not every task sends PER_CLASS rows to the one that picks
+            one = one.where(spread < -(2**63) + 2**64 * 2 * PER_CLASS // totals[y])
+        one = one.orderBy(spread, "doc_id").limit(PER_CLASS)
         picked = one if picked is None else picked.unionByName(one)
     # At most 2 * PER_CLASS rows of two numbers.
     texts = id_text(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "quality", "text")
@@ -191,9 +197,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     found = texts.mapInArrow(tk.arrow_map(sparse), "doc_id long, quality int, terms array<int>, n array<float>").toArrow()
     order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
     counts = np.zeros((len(order), DIMS), np.float32)
-    terms, n = found.column("terms").to_pylist(), found.column("n").to_pylist()
-    for i, j in enumerate(order.tolist()):
-        counts[i, terms[j]] = n[j]
+    rank = np.argsort(order, kind="stable")
+    at = 0
+    for part in found.to_batches():
+        terms = part.column("terms")
+        row = np.repeat(rank[at : at + part.num_rows], terms.value_lengths().to_numpy())
+        counts[row, terms.flatten().to_numpy()] = part.column("n").flatten().to_numpy()
+        at += part.num_rows
     return fit(counts, found.column("quality").to_numpy()[order], totals)
 
 
