@@ -135,8 +135,7 @@ def occurrences(index: DataFrame, n_terms: int) -> np.ndarray:
 
 
 class Segment:
-    def __init__(self, row: dict, total: np.ndarray):
-        n_terms, self.total = len(total), total
+    def __init__(self, row: dict, n_terms: int):
         kinds, sizes = (np.frombuffer(row[k], "<u4").astype(np.int64) for k in ("terms", "sizes"))
         self.postings = np.frombuffer(row["postings"], "<u4").astype(np.int64)
         self.size = np.zeros(n_terms, np.int64)
@@ -154,13 +153,12 @@ class Segment:
         found = self.keys[at]
         return (found >= low) & (found <= ((term << 32) | (place + slop)))
 
-    def search(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of exact matches the windows and first places, of proximity matches the windows and documents."""
+    def search(self, rows: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of exact matches the windows and first places, of proximity matches the windows and documents. rare: places of each window's terms, rarest first."""
         none = np.zeros(0, np.int64)
         exact, near = [(none, none)], [(none, none)]
         if not len(self.keys):
             return *exact[0], *near[0]
-        rare = np.argsort(self.total[rows], axis=1, kind="stable")
         width = rows.shape[1]
         few = min(RARE_TERMS, width)
         size = np.take_along_axis(self.size[rows], rare, axis=1)
@@ -198,17 +196,18 @@ def look_up(index: DataFrame, block: TestBlock, total: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test, totals = shared.value
+        orders = [np.argsort(totals[rows], axis=1, kind="stable") for rows, _, _ in test.windows]
         for batch in batches:
             for row in batch.to_pylist():
-                segment = Segment(row, totals)
+                segment = Segment(row, len(totals))
                 n = len(segment.n_words)
                 items: list[set] = [set() for _ in range(n)]
                 near: list[set] = [set() for _ in range(n)]
                 runs: list[list] = [[] for _ in range(n)]
                 total = int(segment.base[-1] + segment.n_words[-1]) + GAP if n else 0
                 cover = np.zeros(total + 1, np.int64)
-                for rows, window_of, item_of in test.windows:
-                    w, s, nw, nd = segment.search(rows)
+                for (rows, window_of, item_of), rare in zip(test.windows, orders):
+                    w, s, nw, nd = segment.search(rows, rare)
                     np.add.at(cover, s, 1)
                     np.add.at(cover, s + rows.shape[1], -1)
                     first = np.searchsorted(window_of, np.arange(len(rows) + 1))
