@@ -42,7 +42,9 @@ from .common import id_text, parallelism, written
 LENGTH, GRAM = 100, 32
 SPREAD = LENGTH - GRAM + 1  # anchors that a window can have
 #: Text of a task whose runs are compared before the shuffle; different runs of one anchor that one task compares.
-FLUSH_BYTES, WIDE = 24 << 20, 1 << 13
+FLUSH_BYTES, WIDE = 24 << 20, 1 << 14
+#: Runs compared at once, unless a single anchor has more.
+TOGETHER = 4096
 MOST_BUCKETS = 1 << 20
 
 RUNS = "kind int, key long, doc_id long, lo long, hi long, back int"
@@ -234,9 +236,20 @@ def _ranges(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(start[first]), pa.array(start[last])], names=["doc_id", "lo", "hi"])
 
 
+def by_groups(table: pa.Table, most: int) -> Iterator[pa.Table]:
+    """Parts of about `most` rows that never end within a key."""
+    key = table.column("key").to_numpy()
+    ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+    at = 0
+    while at < len(key):
+        i = max(int(np.searchsorted(ends, at + most, "right")) - 1, int(np.searchsorted(ends, at, "right")))
+        yield table.slice(at, int(ends[i]) - at)
+        at = int(ends[i])
+
+
 def compare_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key; windows that an earlier one with the same key equals, as ranges of starts."""
-    for rows in tk.whole_groups(batches, ["key"]):
+    for rows in (part for table in tk.whole_groups(batches, ["key"]) for part in by_groups(table, TOGETHER)):
         doc, start, value = _windows(rows)
         order = np.lexsort((start, doc, value))
         doc, start, value = doc[order], start[order], value[order]

@@ -169,6 +169,14 @@ def test_repeats(corpus):
     assert by_id(substring_dedup.dedup_substrings(df), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(texts)
 
 
+def test_parts_end_with_a_key():
+    import pyarrow as pa
+
+    key = [1, 1, 2, 3, 3, 3, 3, 3, 4, 5, 6, 6]
+    parts = [p.column("key").to_pylist() for p in substring_dedup.by_groups(pa.table({"key": key}), 3)]
+    assert parts == [[1, 1, 2], [3, 3, 3, 3, 3], [4, 5], [6, 6]]
+
+
 def test_many_different_runs_at_one_anchor(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "WIDE", 3)
     passage = rows.PASSAGE[:110]
@@ -350,6 +358,17 @@ def test_classifier_on_awkward_rows(spark, docs):
         assert {r["score"] for r in only.collect()} == {1.0}
 
 
+def test_sample_of_labelled_rows_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "PER_CLASS", 10)
+    df = rows.documents(spark, [rows.prose(i, 20) for i in range(600)], extra=False)
+    labels = spark.createDataFrame([(i, int(i > 200)) for i in range(1, 601)], "doc_id long, quality int")
+    model = quality_classifier.train(df, labels)
+    assert sorted(model.labels) == [0.0] * 10 + [1.0] * 10
+    smallest = [r[0] for r in labels.where(~quality_classifier.held_out(F.col("doc_id")) & (F.col("quality") == 1)).orderBy(F.xxhash64("doc_id")).limit(10).collect()]
+    again = quality_classifier.train(df, labels.where((F.col("quality") == 0) | F.col("doc_id").isin(smallest)))
+    assert sorted(map(tuple, again.vectors.round(4).tolist())) == sorted(map(tuple, model.vectors.round(4).tolist()))
+
+
 def test_exact_blocks_of_cosines():
     import numpy as np
 
