@@ -41,10 +41,8 @@ from .common import id_text, parallelism, written
 
 LENGTH, GRAM = 100, 32
 SPREAD = LENGTH - GRAM + 1  # anchors that a window can have
-#: Text of a task whose runs are compared before the shuffle; different runs of one anchor that one task compares.
-FLUSH_BYTES, WIDE = 24 << 20, 1 << 14
-#: Runs compared at once, unless a single anchor has more.
-TOGETHER = 4096
+#: Text of a task whose runs are compared before the shuffle; runs whose windows a task compares at once.
+FLUSH_BYTES, WIDE = 24 << 20, 1 << 12
 MOST_BUCKETS = 1 << 20
 
 RUNS = "kind int, key long, doc_id long, lo long, hi long, back int"
@@ -249,7 +247,7 @@ def by_groups(table: pa.Table, most: int) -> Iterator[pa.Table]:
 
 def compare_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key; windows that an earlier one with the same key equals, as ranges of starts."""
-    for rows in (part for table in tk.whole_groups(batches, ["key"]) for part in by_groups(table, TOGETHER)):
+    for rows in (part for table in tk.whole_groups(batches, ["key"]) for part in by_groups(table, WIDE)):
         doc, start, value = _windows(rows)
         order = np.lexsort((start, doc, value))
         doc, start, value = doc[order], start[order], value[order]
