@@ -9,7 +9,12 @@ tolerance for the rarest terms, give proximity matches. Neither depends on how t
 partitioned.
 
 Only terms that the test items contain are given posting lists. The test set is read in blocks of
-bounded size, so that no broadcast grows with it; results of several blocks are merged by document.
+bounded size; results of several blocks are merged by document.
+
+Items are told apart by item_id: rows that repeat one are searched row by row, and a document that
+holds windows of several lists the id once. Rows with a null item_id are searched like any others;
+as in ORACLE_SQL, their hits count, they are together one of n_items, and they are not listed in
+items, its digest or near_items.
 
 Nulls and empty texts have no words and stay clean; an item without words matches nothing. A null
 doc_id is kept as it is; repeated rows get a row each. Very long texts form a segment alone.
@@ -53,7 +58,7 @@ class TestBlock:
         data = tk.LOWER[data]
         start, end, doc = tk.word_spans(data, offsets, SEPARATOR)
         words = tk.span_hash(tk.prefix_hash(data), start, end)
-        self.ids = [str(x) for x in ids]
+        self.ids = [None if x is None else str(x) for x in ids]
         self.terms = np.unique(words)
         term = np.searchsorted(self.terms, words)
         first = np.searchsorted(doc, np.arange(len(ids)))
@@ -73,12 +78,12 @@ class TestBlock:
 
 
 def blocks(benchmark: DataFrame) -> list[TestBlock]:
-    rows = benchmark.select(F.col("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where(F.col("item_id").isNotNull())
+    rows = benchmark.select(F.col("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, math.ceil(size / BLOCK_BYTES))
     out = []
     for i in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i)
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
         arrow = part.toArrow()
         out.append(TestBlock(arrow.column("item_id").to_pylist(), arrow.column("text").combine_chunks()))
     return out
@@ -220,7 +225,8 @@ def look_up(index: DataFrame, block: TestBlock, total: np.ndarray) -> DataFrame:
                 d = segment.document(a)
                 for x, y, z in zip(a.tolist(), b.tolist(), d.tolist()):
                     runs[z].append({"start": x - int(segment.base[z]), "end": y - int(segment.base[z])})
-                text = lambda sets: pa.array([sorted(test.ids[i] for i in x) for x in sets], pa.list_(pa.string()))
+                ids = lambda sets: [{test.ids[i] for i in x} for x in sets]
+                text = lambda sets: pa.array([sorted(x - {None}) + [None] * (None in x) for x in sets], pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["segment"]] * n, pa.int64()),
@@ -228,8 +234,8 @@ def look_up(index: DataFrame, block: TestBlock, total: np.ndarray) -> DataFrame:
                         pa.array(row["doc_ids"], pa.int64()),
                         pa.array(segment.n_words, pa.int64()),
                         pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                        text(items),
-                        text(near),
+                        text(ids(items)),
+                        text([x - {None} for x in ids(near)]),
                     ],
                     names=["segment", "place", "doc_id", "n_words", "runs", "items", "near_items"],
                 )

@@ -274,6 +274,30 @@ def test_decontamination_in_blocks(spark, docs, monkeypatch):
     assert decontaminated(spark, docs, rows.ITEMS) == brute.contamination(TEXTS, dict(rows.ITEMS))
 
 
+@pytest.mark.parametrize("block", [16 << 20, 300])
+def test_repeated_and_null_item_ids(spark, monkeypatch, block):
+    import duckdb
+
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    passages = [rows.prose(i, 30) for i in range(200, 204)]
+    texts = [*(f"{rows.prose(300 + i, 20)} {p}" for i, p in enumerate(passages)), " ".join(passages), rows.prose(310, 40)]
+    items = [(1, passages[0]), (1, passages[0]), (1, passages[1]), (2, passages[1]), (None, passages[1]), (None, passages[2]), (None, passages[3]), (None, passages[3]), (3, "never seen words here")]
+    df = rows.documents(spark, texts, extra=False)
+    got = decontaminated(spark, df, items)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert (len(decontamination.blocks(benchmark)) > 1) == (block == 300)
+    assert got[1][1:4] == (30, 1, brute.sha("1")) and got[2][1:4] == (30, 3, brute.sha("1,2")) and got[5][1:4] == (120, 3, brute.sha("1,2"))
+    assert got[3][1:] == got[4][1:] == (30, 1, brute.sha(""), True) and got[6][4] is False
+    with duckdb.connect() as db:
+        documents, benchmark = df.toArrow(), benchmark.toArrow()
+        for name, table in (("documents", documents), ("benchmark", benchmark)):
+            db.register(name, table)
+        result = db.execute(decontamination.ORACLE_SQL)
+        names = [x[0] for x in result.description]
+        expected = [dict(zip(names, r)) for r in result.fetchall()]
+    assert got == {r["doc_id"]: tuple(r[c] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in expected}
+
+
 def test_no_benchmark(spark, docs):
     assert decontaminated(spark, docs, []) == brute.contamination(TEXTS, {})
 
