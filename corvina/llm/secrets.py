@@ -4,7 +4,8 @@ Base kinds are patterns (assignments to secret names, access key ids, long hex s
 high-entropy strings: over every candidate string a window of WINDOW characters slides; its Shannon
 entropy is kept up to date from incremental counts (one character enters, one leaves, and the sum of
 c * log2(c) changes in two terms). Each character class (hex, base64-like) has its own limit. Strings
-on the allow-list and strings that overlap a base span are suppressed; base spans always stay.
+on the allow-list are suppressed; of strings that overlap base spans the parts outside are scored,
+without =, _, + and - at their edges. Base spans always stay.
 
 Offsets are code points, ends exclusive; they come from the lengths of what lies between matches.
 Nulls and empty texts have no spans. Very long texts are scanned whole; work on a candidate grows
@@ -30,12 +31,16 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 SIGN = "[A-Za-z0-9+/_=-]"
-#: Runs of WINDOW signs or more that hold a digit; a run is tried at its start only.
-CANDIDATE = rf"(?<!{SIGN})(?=[A-Za-z+/_=-]*+[0-9]){SIGN}{{{WINDOW},}}+"
+#: Runs of WINDOW signs or more; a run is tried at its start only.
+CANDIDATE = rf"(?<!{SIGN}){SIGN}{{{WINDOW},}}+"
+#: What a candidate may begin and end with that is no part of a value.
+EDGE = "=_+-"
 #: Least entropy in bits a character, of the best window, by character class.
 HEX_LIMIT, BASE64_LIMIT = 3.0, 3.6
-#: Never reported as entropy: identifiers and placeholders rather than secrets.
-ALLOWED = r"^[0-9]+$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|(?i:example|sample|dummy|placeholder|changeme|abcdefgh|12345678)|^(?:[A-Za-z]+[/_=-])+[A-Za-z]*[0-9]{1,4}$|/.*/.*/|^[=_+-]+"
+#: Words of paths and identifiers: in one case, capitalised or in camel case, with up to four digits at the end.
+WORD = r"(?:[A-Z]?[a-z]++(?:[A-Z][a-z]{2,}+)*+[0-9]{0,4}+|[A-Z]++[0-9]{0,4}+|[0-9]{1,4}+)"
+#: Never reported as entropy: identifiers, paths of words and placeholders rather than secrets.
+ALLOWED = rf"^(?:{WORD}[/+_=-]++)*+{WORD}?+$|" + r"^[0-9]+$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|(?i:example|sample|dummy|placeholder|changeme|abcdefgh|12345678)|^(?:[A-Za-z]+[/_=-])+[A-Za-z]*[0-9]{1,4}$"
 
 
 def located(text: Column, pattern: str, keep=None) -> Column:
@@ -84,6 +89,28 @@ def is_secret(s: Column) -> Column:
     return F.when(mixed, window_entropy(s) >= limit).otherwise(False)
 
 
+def outside(c: Column, base: Column) -> Column:
+    """The parts of a candidate outside all base spans, without signs at their edges that belong to no value."""
+    cuts = F.array_sort(F.transform(F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+    empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    part = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
+    left = F.aggregate(
+        cuts,
+        F.struct(c["start"].alias("at"), empty.alias("out")),
+        lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["out"], part(acc["at"], b["start"])).alias("out")),
+        lambda acc: F.concat(acc["out"], part(acc["at"], c["end"])),
+    )
+    long = F.filter(left, lambda x: x["end"] - x["start"] >= WINDOW)
+
+    def stripped(x: Column) -> Column:
+        text = F.substring(c["match"], x["start"] - c["start"] + 1, x["end"] - x["start"])
+        start = x["start"] + F.length(text) - F.length(F.ltrim(text, F.lit(EDGE)))
+        inner = F.trim(text, F.lit(EDGE))
+        return F.struct(start.alias("start"), (start + F.length(inner)).alias("end"), inner.alias("match"))
+
+    return F.filter(F.transform(long, stripped), lambda x: F.length(x["match"]) >= WINDOW)
+
+
 def tag(kind: str) -> Column:
     """The spans of a kind with what they sort by and how they are written."""
     return F.transform(kind, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), F.concat_ws(":", F.lit(kind), x["start"], x["end"]).alias("span")))
@@ -100,7 +127,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
         located(text, CANDIDATE).alias("candidates"),
     )
     base = found.select("*", F.concat("assign", "access", "hex").alias("base"))
-    free = base.withColumn("entropy", F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])) & is_secret(c["match"])))
+    parts = base.withColumn("parts", F.flatten(F.transform("candidates", lambda c: outside(c, F.col("base")))))
+    free = parts.withColumn("entropy", F.filter("parts", lambda c: is_secret(c["match"])))
     tagged = {kind: tag(kind) for kind in KINDS}
     joined = lambda *kinds: F.array_join(F.transform(F.array_sort(F.concat(*(tagged[k] for k in kinds))), lambda x: x["span"]), ",")
     return free.select(

@@ -85,6 +85,24 @@ def test_entropy_spans(docs):
     assert (kind, text[int(a) : int(b)]) == ("entropy", "wJalrXUtnFEMIK7MDENGbPxRfiCYzq83jQ")
 
 
+def test_secrets_that_look_like_paths_or_edges(spark):
+    key = "q9Zt/Xw2Lk7/Rb4Vn/Hs8Yd1Gf/Jm5Cp0TuQxEa"
+    plain = "hQzWvKtYbNrXcJmLpDsGfUaE"
+    cases = [
+        (f"see {key} here", [key]),
+        (f"see -{plain}9 here", [plain + "9"]),
+        (f"name ={plain}7== here", [plain + "7"]),
+        (f"see {plain} here", [plain]),
+        (f"x {'0123456789abcdef' * 2}-{plain} y", [plain]),
+        ("in /usr/local/lib/python3/site-packages/module_name and getElementsByTagName", []),
+        ("a snake_case_identifier_of_many_words and ------------------------", []),
+    ]
+    got = by_id(secrets.scan_secrets(rows.documents(spark, [t for t, _ in cases], extra=False)), "doc_id", "spans")
+    for i, (text, expected) in enumerate(cases, 1):
+        spans = [x.split(":") for x in got[i][0].split(",") if x]
+        assert [text[int(a) : int(b)] for k, a, b in spans if k == "entropy"] == expected, (text, spans)
+
+
 def test_window_entropy_is_exact(spark):
     strings = ["abcdefghij0123456789KLMNOP", "a" * 20, "ab" * 15, "aaaaaaaaaaaaaaaaaaaaQx7Zk9Lp2Wv5Rt8Yb3Nc6Md"]
 
