@@ -32,6 +32,8 @@ from .common import id_text, written
 CAPACITY, END_ID = 4096, 1
 #: Pieces that one task packs at most, and the share of them, in bins, that a partition gives up in a round.
 PER_PARTITION, OPEN_SHARE = 50_000, 200
+#: Rounds at most; what the last one packs stays as it is.
+ROUNDS = 32
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, slack long, certified boolean"
 
@@ -233,12 +235,12 @@ def pack(parts: DataFrame) -> DataFrame:
         histogram[row["length"]] = row["count"]
     bound, closed, before = lower_bound(histogram), 0, math.inf
     n = int(histogram.sum())
-    for round_no in range(32):
+    for round_no in range(ROUNDS):
         parts_now = max(1, math.ceil(n / PER_PARTITION))
         packed = written(todo.repartition(parts_now).mapInPandas(pack_partition(round_no), PACKED))
         bins = packed.groupBy("sequence_id").agg(F.first("slack").alias("slack"), F.count("*").alias("n"))
         total = closed + bins.count()
-        if parts_now == 1 or total <= bound or total >= before:
+        if parts_now == 1 or total <= bound or total >= before or round_no == ROUNDS - 1:
             done.append(packed)
             break
         before = total

@@ -269,6 +269,13 @@ def test_packing_rounds(spark, monkeypatch):
     assert packed_well(out, bound) <= 1.02 * bound + 1
 
 
+def test_last_round_keeps_every_piece(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PER_PARTITION", 400)
+    monkeypatch.setattr(packing, "ROUNDS", 1)
+    parts = spark.range(3000).selectExpr("id as doc_id", "0 as piece", "0L as start", "1 + (id * 7919) % 3000 as length", "0L as ids_crc32")
+    assert sorted(r["doc_id"] for r in packing.pack(parts).collect()) == list(range(3000))
+
+
 def test_sequences_hold_the_ids(docs, tokenizer):
     parts = written(packing.pieces(docs, registry.tokenizer_path(), with_ids=True))
     out = packing.sequences(parts, packing.pack(parts)).collect()
