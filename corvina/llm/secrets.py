@@ -40,7 +40,7 @@ HEX_LIMIT, BASE64_LIMIT = 3.0, 3.6
 #: Words of paths and identifiers: in one case, capitalised or in camel case, with up to four digits at the end.
 WORD = r"(?:[A-Z]?[a-z]++(?:[A-Z][a-z]{2,}+)*+[0-9]{0,4}+|[A-Z]++[0-9]{0,4}+|[0-9]{1,4}+)"
 #: Never reported as entropy: identifiers, paths of words and placeholders rather than secrets.
-ALLOWED = rf"^(?:{WORD}[/+_=-]++)*+{WORD}?+$|" + r"^[0-9]+$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|(?i:example|sample|dummy|placeholder|changeme|abcdefgh|12345678)|^(?:[A-Za-z]+[/_=-])+[A-Za-z]*[0-9]{1,4}$"
+ALLOWED = rf"^[/+_=-]*+(?:{WORD}[/+_=-]++)*+{WORD}?+$|" + r"^[0-9]+$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|(?i:example|sample|dummy|placeholder|changeme|abcdefgh|12345678)|^(?:[A-Za-z]+[/_=-])+[A-Za-z]*[0-9]{1,4}$"
 
 
 def located(text: Column, pattern: str, keep=None) -> Column:
