@@ -1,6 +1,7 @@
 """Plain versions of what the operators promise, one document or pair at a time."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -43,6 +44,25 @@ def spans(text, table):
     return [(k, *m.span()) for k, (pattern, good) in table.items() for m in re.finditer(pattern, text or "", re.ASCII) if good(m)]
 
 
+def entropies(text):
+    """(start, end) of the high-entropy strings beside what the base patterns match: every window's entropy, from scratch."""
+    text = text or ""
+    for pattern in (SECRETS["assign"][0], r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}"):
+        text = re.sub(pattern, lambda m: " " * len(m[0]), text, flags=re.ASCII)
+    word = r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]{1,4})"
+    plain = [rf"[/+_=-]*(?:{word}[/+_=-]+)*(?:{word})?", "[0-9]+", "[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}", "(?:[A-Za-z]+[/_=-])+[A-Za-z]*[0-9]{1,4}"]
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        s = m[0].strip("=_+-")
+        start = m.start() + len(m[0]) - len(m[0].lstrip("=_+-"))
+        if len(s) < 20 or not re.search("[A-Za-z]", s) or any(re.fullmatch(x, s) for x in plain) or re.search("(?i)example|sample|dummy|placeholder|changeme|abcdefgh|12345678", s):
+            continue
+        best = max(-sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w)) for w in (s[i : i + 20] for i in range(len(s) - 19)))
+        if best >= (3.0 if re.fullmatch("[0-9a-fA-F]+", s) else 3.6):
+            out.append((start, start + len(s)))
+    return out
+
+
 def line_dedup(docs):
     """doc_id: (n_lines, n_dropped, kept text)."""
     key = lambda x: x.strip(SPACE).translate(LOWER)

@@ -103,6 +103,47 @@ def test_secrets_that_look_like_paths_or_edges(spark):
         assert [text[int(a) : int(b)] for k, a, b in spans if k == "entropy"] == expected, (text, spans)
 
 
+def test_entropy_spans_match_a_plain_scan(spark, corpus):
+    import random
+
+    df, texts = corpus
+    rng = random.Random(5)
+    signs = "abcdefXYZ0123456789+/_=-"
+    odd = ["".join(rng.choice(signs + " .:=") for _ in range(rng.choice([60, 3000]))) + rng.choice(["", " token=abc", " AKIA" + "7" * 16 + "q" * 30, " secret: " + "x1" * 30]) for _ in range(150)]
+    for frame, known in ((df, texts), (rows.documents(spark, odd, extra=False), dict(enumerate(odd, 1)))):
+        got = by_id(secrets.scan_secrets(frame), "doc_id", "spans", "n_entropy")
+        for d, t in known.items():
+            spans = [x.split(":") for x in got[d][0].split(",") if x]
+            assert [(int(a), int(b)) for k, a, b in spans if k == "entropy"] == brute.entropies(t), (d, t)
+
+
+def test_long_and_dense_texts_of_secrets(spark):
+    """Time is linear, and no pattern's stack grows with the text."""
+    import base64
+    import random
+
+    rng = random.Random(1)
+    words = [f"{rng.getrandbits(64):016x}" for _ in range(300000)]
+    blob = base64.b64encode(rng.randbytes(3_000_000)).decode()
+    texts = ["a_" * 1_000_000 + "1234567", " ".join(words), blob, "ab" * 2_000_000, "token=x " * 100_000, "A_1-" * 500_000]
+    got = by_id(secrets.scan_secrets(rows.documents(spark, texts, extra=False)), "doc_id", "n_assign", "n_hex", "n_entropy", "spans")
+    assert got[2] == (0, len(words), 0, ",".join(f"hex:{17 * i}:{17 * i + 16}" for i in range(len(words))))
+    assert got[3] == (0, 0, 1, f"entropy:0:{len(blob.rstrip('='))}")
+    assert got[4] == (0, 1, 0, "hex:0:4000000") and got[5] == (0, 0, 0, "") and got[1][:2] == got[6][:2] == (0, 0)
+
+
+def test_running_sums(spark):
+    sizes = (0, 1, 63, 64, 65, 4096, 4097, 300000)
+    df = spark.createDataFrame([(n,) for n in sizes], "n int").select("n", F.expr("transform(slice(sequence(0, n), 1, n), x -> x % 7)").alias("v"))
+    got = df.select("n", secrets.running(F.col("v")).alias("sums")).collect()
+    for r in got:
+        total, expected = 0, []
+        for i in range(r["n"]):
+            total += i % 7
+            expected.append(total)
+        assert r["sums"] == expected
+
+
 def test_window_entropy_is_exact(spark):
     strings = ["abcdefghij0123456789KLMNOP", "a" * 20, "ab" * 15, "aaaaaaaaaaaaaaaaaaaaQx7Zk9Lp2Wv5Rt8Yb3Nc6Md"]
 
