@@ -2,9 +2,11 @@
 
 Texts become token ids (plus an end id), long ones are cut into pieces of the sequence length.
 Pieces are dealt over Spark partitions of bounded size; each packs its share by best-fit decreasing
-and certifies its bin count by dual-feasible functions. While the number of bins is above the
-bound of the whole corpus, partitions with gaps give up their bins that have room, exchange those
-pieces through a shuffle into fewer partitions, and best-fit decreasing runs again on them.
+and certifies its bin count by dual-feasible functions: one that needs as many bins as its lower
+bound says is settled. Partitions with a gap between the two give up their emptiest bins, exchange
+those pieces through a shuffle into fewer partitions, and best-fit decreasing runs again on them,
+until no partition has a gap, the number of bins is the bound of the whole corpus, a single
+partition is left, or PATIENCE rounds in a row have saved no bin. report() tells the gap that is left.
 
 Nulls and empty texts give one piece that holds the end id alone. Repeated rows and ties are
 packed like any others; rows with a null doc_id too. An empty table gives no rows. Extra columns
@@ -32,8 +34,8 @@ from .common import id_text, written
 CAPACITY, END_ID = 4096, 1
 #: Pieces that one task packs at most, and the share of them, in bins, that a partition gives up in a round.
 PER_PARTITION, OPEN_SHARE = 50_000, 200
-#: Rounds at most; what the last one packs stays as it is.
-ROUNDS = 32
+#: Rounds at most, and those in a row that may save nothing; what the last one packs stays as it is.
+ROUNDS, PATIENCE = 32, 3
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, slack long, certified boolean"
 
@@ -224,29 +226,35 @@ def pack_partition(round_no: int):
     return run
 
 
+def bound_of(parts: DataFrame) -> int:
+    """Bins that all pieces together need at least; at most one row for each length reaches the driver."""
+    histogram = np.zeros(CAPACITY + 1, np.int64)
+    for row in parts.groupBy("length").count().collect():
+        histogram[row["length"]] = row["count"]
+    return lower_bound(histogram)
+
+
 def pack(parts: DataFrame) -> DataFrame:
-    """parts with length of at most CAPACITY: sequence_id and offset for each, slack (room left in its sequence) and certified."""
+    """parts with length of at most CAPACITY: sequence_id and offset for each, slack (room left in its sequence) and certified (whether its partition met its bound)."""
     names = [x.split()[0] for x in PACKED.split(", ")]
     todo = parts.select(names[:5])
     done: list[DataFrame] = []
-    # At most one row for each length.
-    histogram = np.zeros(CAPACITY + 1, np.int64)
-    for row in todo.groupBy("length").count().collect():
-        histogram[row["length"]] = row["count"]
-    bound, closed, before = lower_bound(histogram), 0, math.inf
-    n = int(histogram.sum())
+    bound, n = bound_of(todo), todo.count()
+    closed, least, idle = 0, math.inf, 0
     for round_no in range(ROUNDS):
         parts_now = max(1, math.ceil(n / PER_PARTITION))
         packed = written(todo.repartition(parts_now).mapInPandas(pack_partition(round_no), PACKED))
-        bins = packed.groupBy("sequence_id").agg(F.first("slack").alias("slack"), F.count("*").alias("n"))
-        total = closed + bins.count()
-        if parts_now == 1 or total <= bound or total >= before or round_no == ROUNDS - 1:
+        bins = packed.groupBy("sequence_id").agg(F.first("slack").alias("slack"), F.count("*").alias("n"), F.first("certified").alias("certified"))
+        found = bins.agg(F.count("*").alias("bins"), F.count_if(~F.col("certified")).alias("open")).first()
+        total = closed + found["bins"]
+        idle = 0 if total < least else idle + 1
+        least = min(least, total)
+        if parts_now == 1 or not found["open"] or total <= bound or idle >= PATIENCE or round_no == ROUNDS - 1:
             done.append(packed)
             break
-        before = total
-        # The emptiest bins of each partition, then full ones of many small pieces, are dissolved; their pieces meet others in the next round.
+        # Of partitions with a gap the emptiest bins, then full ones of many small pieces, are dissolved; their pieces meet others in the next round.
         rank = F.row_number().over(Window.partitionBy(F.shiftright("sequence_id", 30)).orderBy(F.desc("slack"), F.desc("n"), "sequence_id"))
-        given = written(bins.withColumn("rank", rank).where(F.col("rank") <= max(1, PER_PARTITION // OPEN_SHARE)).select("sequence_id", "n"))
+        given = written(bins.where(~F.col("certified")).withColumn("rank", rank).where(F.col("rank") <= max(1, PER_PARTITION // OPEN_SHARE)).select("sequence_id", "n"))
         sums = given.agg(F.count("*").alias("bins"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
         done.append(packed.join(given, "sequence_id", "left_anti").select(names))
         todo = packed.join(given, "sequence_id", "left_semi").select(names[:5])
@@ -257,6 +265,12 @@ def pack(parts: DataFrame) -> DataFrame:
     return out
 
 
+def report(packed: DataFrame) -> dict[str, int]:
+    """Bins used, the lower bound of the whole corpus, and the gap between the two."""
+    bins, bound = packed.select("sequence_id").distinct().count(), bound_of(packed)
+    return {"bins": bins, "bound": bound, "gap": bins - bound}
+
+
 def pack_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     return pack(written(pieces(docs, tokenizer)))
 

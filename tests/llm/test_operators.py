@@ -1,6 +1,7 @@
 """Every operator against its plain version, on awkward rows and on the smallest tables."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -307,7 +308,42 @@ def test_packing_rounds(spark, monkeypatch):
     import numpy as np
 
     bound = packing.lower_bound(np.array(counts))
-    assert packed_well(out, bound) <= 1.02 * bound + 1
+    n = packed_well(out, bound)
+    assert n <= 1.02 * bound + 1
+    assert packing.report(spark.createDataFrame(out)) == {"bins": n, "bound": bound, "gap": n - bound}
+
+
+def test_certified_partitions_are_left_alone(spark, monkeypatch):
+    """Whole sequences need no exchange: their partitions meet their bounds, and one round is all."""
+    monkeypatch.setattr(packing, "PER_PARTITION", 100)
+    parts = spark.range(1000).selectExpr("id as doc_id", "0 as piece", "0L as start", "4096L as length", "0L as ids_crc32")
+    out = packing.pack(parts).collect()
+    assert all(r["certified"] and r["sequence_id"] >> 54 == 0 for r in out) and packed_well(out, 1000) == 1000
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_is_optimal_where_bounds_are_tight(seed):
+    """Bins that are cut into pieces: no more are needed, and the bound never exceeds what an exhaustive search needs."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(seed)
+    lengths = [x for _ in range(4) for x in (lambda c: [c[0], c[1] - c[0], 24 - c[1]])(sorted(rng.sample(range(1, 24), 2)))]
+
+    def least(todo, room):
+        if not todo:
+            return len(room)
+        best, tried = len(lengths), set()
+        for i, r in enumerate(room):
+            if r >= todo[0] and r not in tried:
+                tried.add(r)
+                best = min(best, least(todo[1:], [*room[:i], r - todo[0], *room[i + 1 :]]))
+        return min(best, least(todo[1:], [*room, 24 - todo[0]])) if len(room) < 5 else best
+
+    exact = least(sorted(lengths, reverse=True), [])
+    bound = packing.lower_bound(np.bincount(lengths, minlength=25), 24)
+    assert bound <= exact <= len(packing.best_fit(np.array(lengths), 24)[2]) <= exact + 1
 
 
 def test_last_round_keeps_every_piece(spark, monkeypatch):
@@ -399,11 +435,23 @@ def test_compression_bands():
     import zstandard
 
     zstd, rng = zstandard.ZstdCompressor(level=quality_rules.LEVEL), random.Random(1)
+    verdict = lambda raw: quality_rules.chunk_verdict(zstd, raw)
     noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(20000)).encode()
-    plain = rows.prose(5, 3000)
-    assert quality_rules.chunk_verdict(zstd, noise)[3] and quality_rules.chunk_verdict(zstd, b"again and " * 2000)[3]
-    assert quality_rules.chunk_verdict(zstd, b"") == (0.0, 0, 0, False)
-    assert plain
+    assert verdict(noise)[3] and verdict(b"again and " * 2000)[3]
+    assert verdict(b"") == (0.0, 0, 0, False)
+    # Ordinary prose of every length band, from no generator of these tables: Python's own help texts.
+    from pydoc_data.topics import topics
+
+    for name in ("exceptions", "naming", "execmodel", "objects", "imports", "types", "specialnames"):
+        prose = " ".join(re.sub(r"[*=~^-]{2,}", "", topics.get(name, "")).split()).encode()
+        for n in (40, 100, 200, 400, 800, 1500, 3000, 5000, 9000):
+            if n <= len(prose):
+                assert not verdict(prose[:n])[3], (name, n, verdict(prose[:n]))
+    prose = prose * 2
+    # Every byte is in a chunk; the last one has the limits of its length.
+    assert [verdict(noise[:n])[1] for n in (4096, 4097, 8192, 10000)] == [0, 2, 2, 3]
+    mixed = prose[:4096] + noise[:4095]
+    assert verdict(mixed)[2] == 1 and verdict(prose[:4096] + noise[:4000])[1] == 2
 
 
 # --- classifier -------------------------------------------------------------------------------
