@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import id_text, parallelism, shared_dir, written
+from .common import id_text, shared_dir, written
 
 WINDOW = 10
 #: Proximity: the rarest terms of a window, each within SLOP words of its place.
@@ -56,7 +56,7 @@ SEPARATOR[48:58] = SEPARATOR[97:123] = SEPARATOR[128:] = False
 #: Of a segment its documents (bucket -1), or the lists of a bucket's terms.
 INDEX = "segment long, doc_ids array<long>, n_words array<long>, terms binary, sizes binary, places binary, bucket int"
 TEST = "item string, window long, width int, terms array<long>"
-COVER = "segment long, place long, doc_id long, n_words long, runs array<struct<start:long,end:long>>, windows array<long>, near array<long>"
+COVER = "segment long, place long, doc_id long, n_words long, runs array<struct<start:long,end:long>>, windows array<struct<window:long,exact:boolean>>"
 
 
 @dataclass
@@ -176,7 +176,7 @@ def bucket_of(term: Column) -> Column:
 
 
 def packs(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that share keys as packs, each column (all are long) as bytes; a pack has at most the rows of an Arrow batch."""
+    """Rows that share keys as packs, each column (all are long) as bytes; a pack has at most the rows of an Arrow batch, and need not be its keys' only one."""
     columns = [c for c in rows.columns if c not in keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,24 +191,24 @@ def packs(rows: DataFrame, keys: list[str]) -> DataFrame:
             bodies = [[x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])] for x in (batch.column(c).to_numpy() for c in columns)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(start)) for k in keys), *(pa.array(b, pa.binary()) for b in bodies)], names=[*keys, *columns])
 
-    # Spread by a column besides the keys, so that one key's rows are not all in one task; a pack need not be its key's only one.
-    spread = rows.repartition(parallelism(rows.sparkSession), *keys, F.pmod(F.xxhash64(*columns), F.lit(8))).sortWithinPartitions(*keys)
     kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    return spread.mapInArrow(run, ", ".join([*(f"{k} {kind[k]}" for k in keys), *(f"{c} binary" for c in columns)]))
+    return rows.sortWithinPartitions(*keys).mapInArrow(run, ", ".join([*(f"{k} {kind[k]}" for k in keys), *(f"{c} binary" for c in columns)]))
 
 
-def meeting(lists: DataFrame, rows: DataFrame, index: Index) -> DataFrame:
-    """Lists with the packs of rows of their bucket."""
-    packed = written(packs(rows, ["bucket"]))
-    if rows.count() <= BROADCAST_ROWS:
-        return lists.join(F.broadcast(packed), "bucket")
+def meeting(index: Index, columns: list[str], rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Lists with the packs of rows (at most `most`) of their keys."""
+    lists, packed = index.lists(*columns), packs(rows, keys)
+    if most <= BROADCAST_ROWS:
+        return lists.join(F.broadcast(packed), keys)
+    if keys != ["bucket"]:
+        return lists.join(packed, keys)
     salts = max(1, index.partitions >> BITS)
     spread = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return lists.withColumn("salt", F.pmod("segment", F.lit(salts)).cast("int")).join(spread, ["bucket", "salt"]).drop("salt")
+    return lists.withColumn("salt", F.pmod("segment", F.lit(salts)).cast("int")).join(spread, ["bucket", "salt"])
 
 
-def occurrences(index: Index, terms: DataFrame) -> DataFrame:
-    """term and n: how often each of the terms stands in the corpus."""
+def occurrences(index: Index, terms: DataFrame, most: int) -> DataFrame:
+    """term and n: how often each of the terms (at most `most`) stands in the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,12 +217,12 @@ def occurrences(index: Index, terms: DataFrame) -> DataFrame:
                 hit, number = lists.find(wanted)
                 yield pa.RecordBatch.from_arrays([pa.array(wanted[hit].view(np.int64)), pa.array(lists.sizes[number])], names=["term", "n"])
 
-    both = meeting(index.lists("terms", "sizes"), terms.select(bucket_of(F.col("term")), "term"), index)
+    both = meeting(index, ["terms", "sizes"], terms.select(bucket_of(F.col("term")), "term"), ["bucket"], most)
     return both.select("terms", "sizes", "term").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def candidates(index: Index, ranked: DataFrame) -> DataFrame:
-    """segment, window and anchor: the positions of every window's rarest term."""
+def candidates(index: Index, ranked: DataFrame, most: int) -> DataFrame:
+    """segment, window and anchor: the positions of every window's rarest term; most: windows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +236,7 @@ def candidates(index: Index, ranked: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), segment)), pa.array(np.repeat(own[part], m)), pa.array(lists.places[at])], names=["segment", "window", "anchor"])
 
     rarest = ranked.select(bucket_of(F.col("rare")[0]["term"]), F.col("rare")[0]["term"].alias("term"), "window")
-    both = meeting(index.lists("terms", "sizes", "places"), rarest, index)
+    both = meeting(index, ["terms", "sizes", "places"], rarest, ["bucket"], most)
     return both.select("segment", "terms", "sizes", "places", "term", "window").mapInArrow(run, "segment long, window long, anchor long")
 
 
@@ -256,7 +256,7 @@ def intersected(index: Index, found: DataFrame, ranked: DataFrame, start: int, n
     joined = found.join(ranked.select("window", F.col("rare")[0]["k"].alias("k0"), wanted.alias("more")), "window")
     asked = joined.select("segment", "window", "anchor", "k0", F.explode("more").alias("x"))
     asked = asked.select("segment", bucket_of(F.col("x.term")), F.col("x.term").alias("term"), "window", "anchor", (F.col("anchor") - F.col("k0") + F.col("x.k")).alias("at"))
-    both = index.lists("terms", "sizes", "places").join(written(packs(asked, ["segment", "bucket"])), ["segment", "bucket"])
+    both = meeting(index, ["terms", "sizes", "places"], asked, ["segment", "bucket"], found.count() * n)
     kept = both.select("segment", "terms", "sizes", "places", "term", "window", "anchor", "at").mapInArrow(run, "segment long, window long, anchor long, exact boolean")
     counted = kept.groupBy("segment", "window", "anchor").agg(F.count("*").alias("n"), F.count_if("exact").alias("exact"))
     sized = counted.join(ranked.select("window", F.size(wanted).alias("all")), "window").where(F.col("n") == F.col("all"))
@@ -285,45 +285,42 @@ def cover(hits: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
         for x, y, d in zip((a - base[of]).tolist(), (b - base[of]).tolist(), of.tolist()):
             runs[d].append({"start": x, "end": y})
         doc = np.searchsorted(base, hits["anchor"].to_numpy(np.int64), "right") - 1
-        window = hits["window"].to_numpy(np.int64)
-        found = []
-        for some in (exact, np.ones(len(exact), bool)):
-            pairs = np.unique(np.stack([doc[some], window[some]], axis=1), axis=0)
-            found.append(np.split(pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(1, len(n)))))
+        windows: list[dict] = [{} for _ in n]
+        for d, w, e in zip(doc.tolist(), hits["window"].to_numpy(np.int64).tolist(), exact.tolist()):
+            windows[d][w] = e or windows[d].get(w, False)
         ids = [None if x is None or x != x else int(x) for x in ids]
-        out.append(pd.DataFrame({"segment": segment, "place": np.arange(len(n)), "doc_id": pd.array(ids, "Int64"), "n_words": n, "runs": runs, "windows": [x.tolist() for x in found[0][: len(n)]], "near": [x.tolist() for x in found[1][: len(n)]]}))
-    return pd.concat(out) if out else pd.DataFrame({x.split()[0]: [] for x in COVER.split(", ")[:5]} | {"windows": [], "near": []})
+        out.append(pd.DataFrame({"segment": segment, "place": np.arange(len(n)), "doc_id": pd.array(ids, "Int64"), "n_words": n, "runs": runs, "windows": [[{"window": w, "exact": e} for w, e in x.items()] for x in windows]}))
+    return pd.concat(out) if out else pd.DataFrame({x.split()[0]: [] for x in COVER.split(", ")[:4]} | {"runs": [], "windows": []})
 
 
-def items_of(covered: DataFrame, column: str, wins: DataFrame) -> DataFrame:
-    """segment, place and the distinct items of a document's windows: sorted, a null one last."""
-    pairs = covered.select("segment", "place", F.explode(column).alias("window")).join(wins.select("window", "item").distinct(), "window")
-    grouped = pairs.select("segment", "place", "item").distinct().groupBy("segment", "place").agg(F.array_sort(F.collect_list("item")).alias("some"), F.count_if(F.col("item").isNull()).alias("none"))
-    nothing = F.expr("cast(array(null) as array<string>)")
-    return grouped.select("segment", "place", F.when(F.col("none") > 0, F.concat("some", nothing)).otherwise(F.col("some")).alias(f"{column}_items"))
+def items_of(covered: DataFrame, wins: DataFrame) -> DataFrame:
+    """segment, place, and of a document's windows the distinct items found exactly (sorted, a null one last) and nearly."""
+    pairs = covered.select("segment", "place", F.inline("windows")).join(wins.select("window", "item").distinct(), "window")
+    grouped = pairs.groupBy("segment", "place", "item").agg(F.max("exact").alias("exact")).groupBy("segment", "place")
+    some = grouped.agg(F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"), F.array_sort(F.collect_list("item")).alias("near_items"), F.count_if(F.col("exact") & F.col("item").isNull()).alias("none"))
+    return some.withColumn("items", F.when(F.col("none") > 0, F.concat("items", F.expr("cast(array(null) as array<string>)"))).otherwise(F.col("items"))).drop("none")
 
 
 def search(index: Index, benchmark: DataFrame) -> DataFrame:
     """segment, place, doc_id, n_words, runs (of hit words, counted in the document), items (found exactly) and near_items of every document."""
     wins = written(test_windows(benchmark))
-    distinct = written(wins.dropDuplicates(["window"]).select("window", "width", "terms"))
-    total = written(occurrences(index, distinct.select(F.explode("terms").alias("term")).distinct()))
+    most = wins.count()
+    distinct = wins.dropDuplicates(["window"]).select("window", "width", "terms")
+    total = occurrences(index, distinct.select(F.explode("terms").alias("term")).distinct(), most * WINDOW)
     # A window with a term that the corpus lacks is in no document.
     ranked = distinct.select("window", "width", F.posexplode("terms").alias("k", "term")).join(total, "term")
     ranked = ranked.groupBy("window", "width").agg(F.array_sort(F.collect_list(F.struct("n", "k", "term"))).alias("rare")).where(F.size("rare") == F.col("width"))
     ranked = written(ranked)
-    found = written(candidates(index, ranked))
+    found = written(candidates(index, ranked, most))
     close = written(intersected(index, found, ranked, 1, RARE_TERMS - 1, SLOP))
     exact = intersected(index, close.where("exact").drop("exact"), ranked, RARE_TERMS, WINDOW)
     hits = exact.select("segment", "window", "anchor", F.lit(True).alias("exact")).unionByName(close.select("segment", "window", "anchor", F.lit(False).alias("exact")))
     hits = hits.join(ranked.select("window", "width", F.col("rare")[0]["k"].alias("k0")), "window").withColumn("start", F.col("anchor") - F.col("k0")).drop("k0")
     docs = index.rows.where("bucket = -1").select("segment", "doc_ids", "n_words")
     covered = written(hits.groupBy("segment").cogroup(docs.groupBy("segment")).applyInPandas(cover, COVER))
-    out = covered.drop("windows", "near")
-    for column in ("windows", "near"):
-        out = out.join(items_of(covered, column, wins), ["segment", "place"], "left")
+    out = covered.join(items_of(covered, wins), ["segment", "place"], "left")
     empty = F.expr("cast(array() as array<string>)")
-    return out.select("segment", "place", "doc_id", "n_words", "runs", F.coalesce("windows_items", empty).alias("items"), F.filter(F.coalesce("near_items", empty), lambda x: x.isNotNull()).alias("near_items"))
+    return out.select("segment", "place", "doc_id", "n_words", "runs", F.coalesce("items", empty).alias("items"), F.coalesce("near_items", empty).alias("near_items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import string
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,8 +83,18 @@ def running(values: Column, levels: int = 3) -> Column:
     return F.when(F.size(values) <= BLOCK, plain(values)).otherwise(let(values, by_blocks))
 
 
-def located(text: Column, pattern: str, keep=None) -> Column:
-    """array<struct<start,end,match>> of the leftmost, non-overlapping matches that keep holds for."""
+def may_hold(text: Column, pattern: str) -> Column:
+    """Whether text matches, with a search for plain words first where the pattern needs one."""
+    needs = {ASSIGN: ("password", "passwd", "secret", "token", "api"), ACCESS: ("akia",)}.get(pattern)
+    like = F.regexp_like(text, F.lit(pattern))
+    if not needs:
+        return like
+    some = let(F.lower(text), lambda x: reduce(lambda a, b: a | b, (x.contains(w) for w in needs)))
+    return F.when(some, like).otherwise(False)
+
+
+def located(text: Column, pattern: str, keep=None, guard: Column | None = None) -> Column:
+    """array<struct<start,end,match>> of the leftmost, non-overlapping matches that keep holds for; guard: whether there are any."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     # One gap more than there are matches: the last step has no match.
     steps = F.zip_with(F.split(text, pattern, -1), found, lambda gap, x: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(x), F.lit(0)).alias("n"), x.alias("match")))
@@ -94,14 +105,14 @@ def located(text: Column, pattern: str, keep=None) -> Column:
 
     spans = F.filter(let(steps, placed), lambda x: x["match"].isNotNull() & (keep(x) if keep else F.lit(True)))
     empty = F.expr("cast(array() as array<struct<start:int,end:int,match:string>>)")
-    return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(empty)
+    return F.when(may_hold(text, pattern) if guard is None else guard, spans).otherwise(empty)
 
 
-def blanked(text: Column, pattern: str) -> Column:
-    """text with spaces in place of what matches."""
+def blanked(text: Column, pattern: str, guard: Column) -> Column:
+    """text with spaces in place of what matches; guard: whether anything may."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.zip_with(F.split(text, pattern, -1), found, lambda gap, x: F.concat(gap, F.repeat(F.lit(" "), F.coalesce(F.length(x), F.lit(0)))))
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.array_join(pieces, "")).otherwise(text)
+    return F.when(guard, F.array_join(pieces, "")).otherwise(text)
 
 
 def window_entropy(s: Column) -> Column:
@@ -163,15 +174,14 @@ def tag(kind: str) -> Column:
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """A row for every document: counts and digest of base spans, all spans, n_entropy."""
-    text = F.col("text")
-    rest = id_text(docs).withColumn("rest", blanked(text, ASSIGN))
-    for pattern in (ACCESS, HEX):
-        rest = rest.withColumn("rest", blanked(F.col("rest"), pattern))
+    text, base = F.col("text"), {"assign": ASSIGN, "access": ACCESS, "hex": HEX}
+    rest = id_text(docs).select("*", text.alias("rest"), *(may_hold(text, pattern).alias(f"has_{kind}") for kind, pattern in base.items()))
+    for kind, pattern in base.items():
+        rest = rest.withColumn("rest", blanked(F.col("rest"), pattern, F.col(f"has_{kind}")))
+    long_value = lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= 12
     found = rest.select(
         "doc_id",
-        located(text, ASSIGN, lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= 12).alias("assign"),
-        located(text, ACCESS).alias("access"),
-        located(text, HEX).alias("hex"),
+        *(located(text, pattern, long_value if kind == "assign" else None, F.col(f"has_{kind}")).alias(kind) for kind, pattern in base.items()),
         F.filter(F.transform(located(F.col("rest"), CANDIDATE), stripped), lambda x: F.length(x["match"]) >= WINDOW).alias("candidates"),
     )
     free = found.withColumn("entropy", F.filter("candidates", lambda c: is_secret(c["match"])))
