@@ -6,8 +6,8 @@ stored in the shared folder, partitioned by bucket. The index knows nothing of a
 searched again with another.
 
 Windows of test items are a table like any other: neither they nor their terms pass through the
-driver. Terms are counted in the whole corpus, and the terms of every window are put in order, the
-rarest first. A window's candidates are the positions in its rarest term's list. They are intersected
+driver. The lists of their terms are taken out of the index once, terms are counted in the whole
+corpus, and those of every window are put in order, the rarest first. A window's candidates are the positions in its rarest term's list. They are intersected
 with the lists of its next RARE_TERMS - 1 terms, shifted by the terms' places in the window: as they
 are for exact matches, and with a tolerance for proximity matches. What is left of exact candidates is
 then intersected with the lists of all further terms. Every intersection is a join of packed lists with
@@ -46,7 +46,7 @@ WINDOW = 10
 RARE_TERMS, SLOP = 3, 3
 GAP = 64  # free positions between documents: more than a window and the tolerance
 #: Bytes of text in a segment; bits of a term's hash that make its bucket.
-SEGMENT_BYTES, BITS = 4 << 20, 6
+SEGMENT_BYTES, BITS = 2 << 20, 6
 #: Counted rows of a pack that is broadcast.
 BROADCAST_ROWS = 1 << 20
 
@@ -81,11 +81,13 @@ def words_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 # --- the index --------------------------------------------------------------------------------
 
 
-def _packed(places: np.ndarray, first: np.ndarray) -> bytes:
-    """Positions as differences within their lists."""
+def _packed(places: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes]:
+    """Sizes of lists, and positions as differences within them."""
     step = np.diff(places, prepend=0)
+    first = np.cumsum(sizes) - sizes
     step[first] = places[first]
-    return zstandard.ZstdCompressor(level=1).compress(step.astype("<u4").tobytes())
+    zstd = zstandard.ZstdCompressor(level=1)
+    return zstd.compress(sizes.astype("<u4").tobytes()), zstd.compress(step.astype("<u4").tobytes())
 
 
 def build_index(docs: DataFrame, path: str | None = None) -> Index:
@@ -109,7 +111,7 @@ def build_index(docs: DataFrame, path: str | None = None) -> Index:
                 if a < b:
                     low = int(first[a])
                     own = place[low : int(first[b - 1] + size[b - 1])]
-                    rows.append((number, None, None, terms[a:b].tobytes(), size[a:b].astype("<u4").tobytes(), _packed(own, first[a:b] - low), bucket))
+                    rows.append((number, None, None, terms[a:b].tobytes(), *_packed(own, size[a:b]), bucket))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
             number += 1
 
@@ -122,15 +124,18 @@ def build_index(docs: DataFrame, path: str | None = None) -> Index:
 class Lists:
     """The posting lists of one segment and bucket."""
 
-    def __init__(self, terms: bytes, sizes: bytes, places: bytes | None = None):
-        self.terms, self.sizes = np.frombuffer(terms, np.uint64), np.frombuffer(sizes, "<u4").astype(np.int64)
+    def __init__(self, terms: bytes, sizes: bytes, places: bytes):
+        unpacked = lambda x: np.frombuffer(zstandard.ZstdDecompressor().decompress(x), "<u4").astype(np.int64)
+        self.terms, self.sizes = np.frombuffer(terms, np.uint64), unpacked(sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
-        if places is not None:
-            step = np.frombuffer(zstandard.ZstdDecompressor().decompress(places), "<u4").astype(np.int64)
-            total = np.cumsum(step)
-            before = np.where(self.first > 0, total[self.first - 1], 0)
-            self.places = total - np.repeat(before, self.sizes)
-            self.keys = (np.repeat(np.arange(len(self.terms)), self.sizes) << 32) | self.places
+        total = np.cumsum(unpacked(places))
+        before = np.where(self.first > 0, total[self.first - 1], 0)
+        self.places = total - np.repeat(before, self.sizes)
+
+    def taken(self, number: np.ndarray) -> np.ndarray:
+        """Positions of the lists of these numbers, one after the other."""
+        n = self.sizes[number]
+        return self.places[np.repeat(self.first[number] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
     def find(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the terms have a list here, and its number."""
@@ -140,8 +145,9 @@ class Lists:
 
     def holds(self, number: np.ndarray, place: np.ndarray, slop: int) -> np.ndarray:
         """Which places (give or take slop) are in the lists."""
+        keys = (np.repeat(np.arange(len(self.terms)), self.sizes) << 32) | self.places
         low = (number << 32) | np.maximum(place - slop, 0)
-        found = self.keys[np.minimum(np.searchsorted(self.keys, low), len(self.keys) - 1)]
+        found = keys[np.minimum(np.searchsorted(keys, low), len(keys) - 1)]
         return (found >= low) & (found <= ((number << 32) | (place + slop)))
 
 
@@ -195,30 +201,49 @@ def packs(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.sortWithinPartitions(*keys).mapInArrow(run, ", ".join([*(f"{k} {kind[k]}" for k in keys), *(f"{c} binary" for c in columns)]))
 
 
-def meeting(index: Index, columns: list[str], rows: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """Lists with the packs of rows (at most `most`) of their keys."""
-    lists, packed = index.lists(*columns), packs(rows, keys)
+def by_bucket(index: Index, rows: DataFrame, most: int) -> DataFrame:
+    """Lists with the packs of rows (at most `most`) of their bucket."""
+    lists, packed = index.lists("terms", "sizes", "places"), packs(rows, ["bucket"])
     if most <= BROADCAST_ROWS:
-        return lists.join(F.broadcast(packed), keys)
-    if keys != ["bucket"]:
-        return lists.join(packed, keys)
+        return lists.join(F.broadcast(packed), "bucket")
     salts = max(1, index.partitions >> BITS)
     spread = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return lists.withColumn("salt", F.pmod("segment", F.lit(salts)).cast("int")).join(spread, ["bucket", "salt"])
 
 
-def occurrences(index: Index, terms: DataFrame, most: int) -> DataFrame:
-    """term and n: how often each of the terms (at most `most`) stands in the corpus."""
+def each(batch: pa.RecordBatch) -> Iterator[list]:
+    """The rows of a batch, one at a time."""
+    for i in range(batch.num_rows):
+        yield [c[i].as_py() for c in batch.columns]
+
+
+def restricted(index: Index, terms: DataFrame, most: int) -> Index:
+    """The lists of some terms only (distinct, at most `most`). Terms of a bucket that are in several packs make several rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for terms, sizes, asked in zip(*(batch.column(c).to_pylist() for c in ("terms", "sizes", "term"))):
-                lists, wanted = Lists(terms, sizes), np.frombuffer(asked, np.uint64)
+            for bucket, segment, terms, sizes, places, asked in each(batch):
+                lists, wanted = Lists(terms, sizes, places), np.sort(np.frombuffer(asked, np.uint64))
                 hit, number = lists.find(wanted)
-                yield pa.RecordBatch.from_arrays([pa.array(wanted[hit].view(np.int64)), pa.array(lists.sizes[number])], names=["term", "n"])
+                if len(hit):
+                    size, place = _packed(lists.taken(number), lists.sizes[number])
+                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([segment]), pa.array([wanted[hit].tobytes()], pa.binary()), pa.array([size], pa.binary()), pa.array([place], pa.binary())], names=["bucket", "segment", "terms", "sizes", "places"])
+
+    both = by_bucket(index, terms.select(bucket_of(F.col("term")), "term"), most)
+    rows = both.select("bucket", "segment", "terms", "sizes", "places", "term").mapInArrow(run, "bucket int, segment long, terms binary, sizes binary, places binary")
+    return Index(written(rows), index.partitions)
+
+
+def occurrences(index: Index) -> DataFrame:
+    """term and n: how often each term stands in the corpus."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for terms, sizes, places in each(batch):
+                lists = Lists(terms, sizes, places)
+                yield pa.RecordBatch.from_arrays([pa.array(lists.terms.view(np.int64)), pa.array(lists.sizes)], names=["term", "n"])
 
-    both = meeting(index, ["terms", "sizes"], terms.select(bucket_of(F.col("term")), "term"), ["bucket"], most)
-    return both.select("terms", "sizes", "term").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return index.lists("terms", "sizes", "places").drop("bucket", "segment").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def candidates(index: Index, ranked: DataFrame, most: int) -> DataFrame:
@@ -226,17 +251,16 @@ def candidates(index: Index, ranked: DataFrame, most: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for segment, terms, sizes, places, asked, window in zip(*(batch.column(c).to_pylist() for c in ("segment", "terms", "sizes", "places", "term", "window"))):
+            for segment, terms, sizes, places, asked, window in each(batch):
                 lists = Lists(terms, sizes, places)
                 hit, number = lists.find(np.frombuffer(asked, np.uint64))
                 own, n = np.frombuffer(window, np.int64)[hit], lists.sizes[number]
                 for part in np.array_split(np.arange(len(own)), max(1, int(n.sum()) >> 18)):
-                    m = n[part]
-                    at = np.repeat(lists.first[number[part]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), segment)), pa.array(np.repeat(own[part], m)), pa.array(lists.places[at])], names=["segment", "window", "anchor"])
+                    at = lists.taken(number[part])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), segment)), pa.array(np.repeat(own[part], n[part])), pa.array(at)], names=["segment", "window", "anchor"])
 
     rarest = ranked.select(bucket_of(F.col("rare")[0]["term"]), F.col("rare")[0]["term"].alias("term"), "window")
-    both = meeting(index, ["terms", "sizes", "places"], rarest, ["bucket"], most)
+    both = by_bucket(index, rarest, most)
     return both.select("segment", "terms", "sizes", "places", "term", "window").mapInArrow(run, "segment long, window long, anchor long")
 
 
@@ -245,7 +269,7 @@ def intersected(index: Index, found: DataFrame, ranked: DataFrame, start: int, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for segment, terms, sizes, places, *asked in zip(*(batch.column(c).to_pylist() for c in ("segment", "terms", "sizes", "places", "term", "window", "anchor", "at"))):
+            for segment, terms, sizes, places, *asked in each(batch):
                 lists, (term, window, anchor, at) = Lists(terms, sizes, places), (np.frombuffer(x, np.int64) for x in asked)
                 hit, number = lists.find(term.view(np.uint64))
                 near = lists.holds(number, at[hit], slop)
@@ -256,7 +280,7 @@ def intersected(index: Index, found: DataFrame, ranked: DataFrame, start: int, n
     joined = found.join(ranked.select("window", F.col("rare")[0]["k"].alias("k0"), wanted.alias("more")), "window")
     asked = joined.select("segment", "window", "anchor", "k0", F.explode("more").alias("x"))
     asked = asked.select("segment", bucket_of(F.col("x.term")), F.col("x.term").alias("term"), "window", "anchor", (F.col("anchor") - F.col("k0") + F.col("x.k")).alias("at"))
-    both = meeting(index, ["terms", "sizes", "places"], asked, ["segment", "bucket"], found.count() * n)
+    both = index.lists("terms", "sizes", "places").hint("merge").join(packs(asked, ["segment", "bucket"]), ["segment", "bucket"])
     kept = both.select("segment", "terms", "sizes", "places", "term", "window", "anchor", "at").mapInArrow(run, "segment long, window long, anchor long, exact boolean")
     counted = kept.groupBy("segment", "window", "anchor").agg(F.count("*").alias("n"), F.count_if("exact").alias("exact"))
     sized = counted.join(ranked.select("window", F.size(wanted).alias("all")), "window").where(F.col("n") == F.col("all"))
@@ -306,14 +330,15 @@ def search(index: Index, benchmark: DataFrame) -> DataFrame:
     wins = written(test_windows(benchmark))
     most = wins.count()
     distinct = wins.dropDuplicates(["window"]).select("window", "width", "terms")
-    total = occurrences(index, distinct.select(F.explode("terms").alias("term")).distinct(), most * WINDOW)
+    lists = restricted(index, distinct.select(F.explode("terms").alias("term")).distinct(), most * WINDOW)
+    total = occurrences(lists)
     # A window with a term that the corpus lacks is in no document.
     ranked = distinct.select("window", "width", F.posexplode("terms").alias("k", "term")).join(total, "term")
     ranked = ranked.groupBy("window", "width").agg(F.array_sort(F.collect_list(F.struct("n", "k", "term"))).alias("rare")).where(F.size("rare") == F.col("width"))
     ranked = written(ranked)
-    found = written(candidates(index, ranked, most))
-    close = written(intersected(index, found, ranked, 1, RARE_TERMS - 1, SLOP))
-    exact = intersected(index, close.where("exact").drop("exact"), ranked, RARE_TERMS, WINDOW)
+    found = written(candidates(lists, ranked, most))
+    close = written(intersected(lists, found, ranked, 1, RARE_TERMS - 1, SLOP))
+    exact = intersected(lists, close.where("exact").drop("exact"), ranked, RARE_TERMS, WINDOW)
     hits = exact.select("segment", "window", "anchor", F.lit(True).alias("exact")).unionByName(close.select("segment", "window", "anchor", F.lit(False).alias("exact")))
     hits = hits.join(ranked.select("window", "width", F.col("rare")[0]["k"].alias("k0")), "window").withColumn("start", F.col("anchor") - F.col("k0")).drop("k0")
     docs = index.rows.where("bucket = -1").select("segment", "doc_ids", "n_words")
