@@ -1,19 +1,18 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The corpus is indexed in segments of a few MB of text. All its terms get posting lists of word
-positions; lists are packed by segment and bucket of terms (the first bits of a term's hash) and
-stored in the shared folder, partitioned by bucket. The index knows nothing of a test set and can be
-searched again with another.
-
-Windows of test items are a table like any other: neither they nor their terms pass through the
-driver. The lists of their terms are taken out of the index once, terms are counted in the whole
-corpus, and those of every window are put in order, the rarest first. A window's candidates are the positions in its rarest term's list. They are intersected
-with the lists of its next RARE_TERMS - 1 terms, shifted by the terms' places in the window: as they
-are for exact matches, and with a tolerance for proximity matches. What is left of exact candidates is
-then intersected with the lists of all further terms. Every intersection is a join of packed lists with
-packed positions, by bucket or by segment and bucket. A list meets the whole of a pack at once, and both
-have bounded sizes, so a term that is in most documents is in many rows. Only packs of at most
-BROADCAST_ROWS counted positions are broadcast; larger ones are shuffled, salted by segment.
+The corpus is indexed in self-contained segments (one row each: documents of a few MB, with a
+posting list of word positions for every term), stored in the shared folder. Test windows are
+looked up in every segment: the posting lists of a window's terms are taken from the rarest (in
+the whole corpus) to the most frequent, each shifted by the term's place in the window, and
+intersected. What is left are exact phrase occurrences; the same lists, intersected with a
+tolerance for the rarest terms, give proximity matches. Neither depends on how the corpus is
+partitioned.
+
+Only terms that the test items contain are given posting lists. The test set is taken in blocks of
+about BLOCK_BYTES of text, one after the other: a block is read, its terms are indexed and looked up,
+the result is written, and the block is released before the next one is read. So what the driver and
+the broadcasts hold is bounded whatever the size of the test set, and every block is one more pass over
+the corpus. Results of several blocks are merged by document; those of one and of many are equal.
 
 Items are told apart by item_id: rows that repeat one are searched row by row, and a document that
 holds windows of several lists the id once. Rows with a null item_id are searched like any others;
@@ -27,330 +26,257 @@ Empty tables give no rows, or only clean ones. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import id_text, shared_dir, written
+from .common import id_text, written
 
 WINDOW = 10
+#: Bytes of test text broadcast at once.
+BLOCK_BYTES = 16 << 20
 #: Proximity: the rarest terms of a window, each within SLOP words of its place.
 RARE_TERMS, SLOP = 3, 3
 GAP = 64  # free positions between documents: more than a window and the tolerance
-#: Bytes of text in a segment; bits of a term's hash that make its bucket.
-SEGMENT_BYTES, BITS = 2 << 20, 6
-#: Counted rows of a pack that is broadcast.
-BROADCAST_ROWS = 1 << 20
+CANDIDATES = 1 << 20
 
 SEPARATOR = np.ones(256, bool)
 SEPARATOR[48:58] = SEPARATOR[97:123] = SEPARATOR[128:] = False
 
-#: Of a segment its documents (bucket -1), or the lists of a bucket's terms.
-INDEX = "segment long, doc_ids array<long>, n_words array<long>, terms binary, sizes binary, places binary, bucket int"
-TEST = "item string, window long, width int, terms array<long>"
-COVER = "segment long, place long, doc_id long, n_words long, runs array<struct<start:long,end:long>>, windows array<struct<window:long,exact:boolean>>"
+SEGMENT = "segment long, doc_ids array<long>, n_words array<long>, terms binary, sizes binary, postings binary"
+FOUND = "segment long, place long, doc_id long, n_words long, runs array<struct<start:long,end:long>>, items array<string>, near_items array<string>"
 
 
-@dataclass
-class Index:
-    """Posting lists (INDEX) under a path; partitions: of the corpus that was indexed."""
+class TestBlock:
+    """Windows of a block of test items, their terms, and the items that hold each window."""
 
-    rows: DataFrame
-    partitions: int
+    def __init__(self, ids: list, texts: pa.Array):
+        data, offsets = tk.flat(texts)
+        data = tk.LOWER[data]
+        start, end, doc = tk.word_spans(data, offsets, SEPARATOR)
+        words = tk.span_hash(tk.prefix_hash(data), start, end)
+        self.ids = [None if x is None else str(x) for x in ids]
+        self.terms = np.unique(words)
+        term = np.searchsorted(self.terms, words)
+        first = np.searchsorted(doc, np.arange(len(ids)))
+        count = np.bincount(doc, minlength=len(ids)) if len(doc) else np.zeros(len(ids), np.int64)
+        by_length: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for item, (a, n) in enumerate(zip(first.tolist(), count.tolist())):
+            if n:
+                width = min(n, WINDOW)
+                rows = np.lib.stride_tricks.sliding_window_view(term[a : a + n], width)
+                by_length.setdefault(width, []).append((rows, np.full(len(rows), item)))
+        #: (distinct windows as rows of terms, window numbers and item numbers that belong together)
+        self.windows = []
+        for rows in by_length.values():
+            distinct, inverse = np.unique(np.concatenate([r for r, _ in rows]).astype(np.int32), axis=0, return_inverse=True)
+            pairs = np.unique(np.stack([inverse.ravel(), np.concatenate([i for _, i in rows])], axis=1), axis=0)
+            self.windows.append((distinct, pairs[:, 0], pairs[:, 1]))
 
-    def lists(self, *columns: str) -> DataFrame:
-        return self.rows.where("bucket >= 0").select("bucket", "segment", *columns)
 
+def test_rows(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
-def words_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the text that each is in."""
-    data, offsets = tk.flat(batch.column("text"))
-    data = tk.LOWER[data]
-    start, end, doc = tk.word_spans(data, offsets, SEPARATOR)
-    return tk.span_hash(tk.prefix_hash(data), start, end), doc
 
+def n_blocks(benchmark: DataFrame) -> int:
+    """Blocks that the test set is taken in."""
+    size = test_rows(benchmark).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(1, math.ceil(size / BLOCK_BYTES))
 
-# --- the index --------------------------------------------------------------------------------
 
+def read_block(benchmark: DataFrame, i: int, n: int) -> TestBlock:
+    """The i-th of n blocks; rows are spread by item and text, so that a block has about its share of the bytes."""
+    rows = test_rows(benchmark)
+    arrow = (rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)).toArrow()
+    return TestBlock(arrow.column("item_id").to_pylist(), arrow.column("text").combine_chunks())
 
-def _packed(places: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes]:
-    """Sizes of lists, and positions as differences within them."""
-    step = np.diff(places, prepend=0)
-    first = np.cumsum(sizes) - sizes
-    step[first] = places[first]
-    zstd = zstandard.ZstdCompressor(level=1)
-    return zstd.compress(sizes.astype("<u4").tobytes()), zstd.compress(step.astype("<u4").tobytes())
 
-
-def build_index(docs: DataFrame, path: str | None = None) -> Index:
-    """Writes the index of docs (under path, or a new shared folder)."""
-    path = path or shared_dir(docs.sparkSession)
+def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
+    """Segments with posting lists for the given terms (sorted word hashes)."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
-        names = [x.split()[0] for x in INDEX.split(", ")]
-        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int32())
-        for batch in tk.slices(batches, most=SEGMENT_BYTES):
-            words, doc = words_of(batch)
-            rows: list[tuple] = [(number, batch.column("doc_id").to_pylist(), np.bincount(doc, minlength=batch.num_rows).tolist(), None, None, None, -1)]
-            order = np.argsort(words, kind="stable")
-            place = (np.arange(len(words)) + GAP * (doc + 1))[order]
-            terms, first, size = np.unique(words[order], return_index=True, return_counts=True)
-            cut = np.searchsorted(terms, np.arange(1 << BITS, dtype=np.uint64) << np.uint64(64 - BITS))
-            for bucket, (a, b) in enumerate(zip(cut.tolist(), [*cut.tolist()[1:], len(terms)])):
-                if a < b:
-                    low = int(first[a])
-                    own = place[low : int(first[b - 1] + size[b - 1])]
-                    rows.append((number, None, None, terms[a:b].tobytes(), *_packed(own, size[a:b]), bucket))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        vocabulary, number = shared.value, TaskContext.get().partitionId() << 32
+        for batch in tk.slices(batches):
+            data, offsets = tk.flat(batch.column("text"))
+            data = tk.LOWER[data]
+            start, end, doc = tk.word_spans(data, offsets, SEPARATOR)
+            words = tk.span_hash(tk.prefix_hash(data), start, end)
+            n_words = np.bincount(doc, minlength=batch.num_rows)
+            place = np.arange(len(words)) + GAP * (doc + 1)
+            term = np.searchsorted(vocabulary, words)
+            hit = np.flatnonzero(vocabulary[np.minimum(term, len(vocabulary) - 1)] == words) if len(vocabulary) else np.zeros(0, np.int64)
+            order = hit[np.argsort(term[hit], kind="stable")]
+            kinds, sizes = np.unique(term[order], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int64()),
+                    pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                    pa.array([n_words], pa.list_(pa.int64())),
+                    *(pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (kinds, sizes, place[order])),
+                ],
+                names=[x.split()[0] for x in SEGMENT.split(", ")],
+            )
             number += 1
 
-    base = id_text(docs)
-    # Rows of a bucket meet, but in as many files as its size asks for.
-    base.mapInArrow(run, INDEX).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
-    return Index(docs.sparkSession.read.schema(INDEX).parquet(path), base.rdd.getNumPartitions())
-
-
-class Lists:
-    """The posting lists of one segment and bucket."""
-
-    def __init__(self, terms: bytes, sizes: bytes, places: bytes):
-        unpacked = lambda x: np.frombuffer(zstandard.ZstdDecompressor().decompress(x), "<u4").astype(np.int64)
-        self.terms, self.sizes = np.frombuffer(terms, np.uint64), unpacked(sizes)
-        self.first = np.cumsum(self.sizes) - self.sizes
-        total = np.cumsum(unpacked(places))
-        before = np.where(self.first > 0, total[self.first - 1], 0)
-        self.places = total - np.repeat(before, self.sizes)
-
-    def taken(self, number: np.ndarray) -> np.ndarray:
-        """Positions of the lists of these numbers, one after the other."""
-        n = self.sizes[number]
-        return self.places[np.repeat(self.first[number] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-
-    def find(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the terms have a list here, and its number."""
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        hit = np.flatnonzero(self.terms[at] == terms)
-        return hit, at[hit]
-
-    def holds(self, number: np.ndarray, place: np.ndarray, slop: int) -> np.ndarray:
-        """Which places (give or take slop) are in the lists."""
-        keys = (np.repeat(np.arange(len(self.terms)), self.sizes) << 32) | self.places
-        low = (number << 32) | np.maximum(place - slop, 0)
-        found = keys[np.minimum(np.searchsorted(keys, low), len(keys) - 1)]
-        return (found >= low) & (found <= ((number << 32) | (place + slop)))
-
-
-# --- windows of test items --------------------------------------------------------------------
-
-
-def test_windows(benchmark: DataFrame) -> DataFrame:
-    """Every window of every item (see TEST)."""
+    return id_text(docs).mapInArrow(run, SEGMENT)
 
-    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        words, doc = words_of(rows)
-        signed = words.view(np.int64)
-        value, at = tk.windows(words, doc, WINDOW)
-        ids = rows.column("item").to_pylist()
-        item, window, terms = [ids[i] for i in doc[at].tolist()], value.view(np.int64).tolist(), [signed[a : a + WINDOW] for a in at.tolist()]
-        count = np.bincount(doc, minlength=rows.num_rows) if len(doc) else np.zeros(rows.num_rows, np.int64)
-        first = np.cumsum(count) - count
-        for i in np.flatnonzero((count > 0) & (count < WINDOW)).tolist():
-            own = words[first[i] : first[i] + count[i]]
-            item.append(ids[i])
-            window.append(int(tk.windows(own + np.uint64(len(own)), np.zeros(len(own), np.int64), len(own))[0].view(np.int64)[0]))
-            terms.append(own.view(np.int64))
-        columns = [pa.array(item, pa.string()), pa.array(window, pa.int64()), pa.array([len(t) for t in terms], pa.int32()), pa.array(terms, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in TEST.split(", ")])
 
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(tk.arrow_map(batch), TEST)
-
-
-def bucket_of(term: Column) -> Column:
-    return F.shiftrightunsigned(term, 64 - BITS).cast("int").alias("bucket")
-
-
-def packs(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that share keys as packs, each column (all are long) as bytes; a pack has at most the rows of an Arrow batch, and need not be its keys' only one."""
-    columns = [c for c in rows.columns if c not in keys]
+def occurrences(index: DataFrame, n_terms: int) -> np.ndarray:
+    """How often each term stands in the corpus; what is gathered is a number for each test term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_terms, np.int64)
         for batch in batches:
-            fresh = np.ones(batch.num_rows, bool)
-            fresh[1:] = False
-            for k in keys:
-                x = batch.column(k).to_numpy()
-                fresh[1:] |= x[1:] != x[:-1]
-            start = np.flatnonzero(fresh)
-            cuts = [*start.tolist(), batch.num_rows]
-            bodies = [[x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])] for x in (batch.column(c).to_numpy() for c in columns)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(start)) for k in keys), *(pa.array(b, pa.binary()) for b in bodies)], names=[*keys, *columns])
-
-    kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    return rows.sortWithinPartitions(*keys).mapInArrow(run, ", ".join([*(f"{k} {kind[k]}" for k in keys), *(f"{c} binary" for c in columns)]))
-
-
-def by_bucket(index: Index, rows: DataFrame, most: int) -> DataFrame:
-    """Lists with the packs of rows (at most `most`) of their bucket."""
-    lists, packed = index.lists("terms", "sizes", "places"), packs(rows, ["bucket"])
-    if most <= BROADCAST_ROWS:
-        return lists.join(F.broadcast(packed), "bucket")
-    salts = max(1, index.partitions >> BITS)
-    spread = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return lists.withColumn("salt", F.pmod("segment", F.lit(salts)).cast("int")).join(spread, ["bucket", "salt"])
-
-
-def each(batch: pa.RecordBatch) -> Iterator[list]:
-    """The rows of a batch, one at a time."""
-    for i in range(batch.num_rows):
-        yield [c[i].as_py() for c in batch.columns]
-
-
-def restricted(index: Index, terms: DataFrame, most: int) -> Index:
-    """The lists of some terms only (distinct, at most `most`). Terms of a bucket that are in several packs make several rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bucket, segment, terms, sizes, places, asked in each(batch):
-                lists, wanted = Lists(terms, sizes, places), np.sort(np.frombuffer(asked, np.uint64))
-                hit, number = lists.find(wanted)
-                if len(hit):
-                    size, place = _packed(lists.taken(number), lists.sizes[number])
-                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([segment]), pa.array([wanted[hit].tobytes()], pa.binary()), pa.array([size], pa.binary()), pa.array([place], pa.binary())], names=["bucket", "segment", "terms", "sizes", "places"])
-
-    both = by_bucket(index, terms.select(bucket_of(F.col("term")), "term"), most)
-    rows = both.select("bucket", "segment", "terms", "sizes", "places", "term").mapInArrow(run, "bucket int, segment long, terms binary, sizes binary, places binary")
-    return Index(written(rows), index.partitions)
-
-
-def occurrences(index: Index) -> DataFrame:
-    """term and n: how often each term stands in the corpus."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for terms, sizes, places in each(batch):
-                lists = Lists(terms, sizes, places)
-                yield pa.RecordBatch.from_arrays([pa.array(lists.terms.view(np.int64)), pa.array(lists.sizes)], names=["term", "n"])
-
-    return index.lists("terms", "sizes", "places").drop("bucket", "segment").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-
-def candidates(index: Index, ranked: DataFrame, most: int) -> DataFrame:
-    """segment, window and anchor: the positions of every window's rarest term; most: windows at most."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for segment, terms, sizes, places, asked, window in each(batch):
-                lists = Lists(terms, sizes, places)
-                hit, number = lists.find(np.frombuffer(asked, np.uint64))
-                own, n = np.frombuffer(window, np.int64)[hit], lists.sizes[number]
-                for part in np.array_split(np.arange(len(own)), max(1, int(n.sum()) >> 18)):
-                    at = lists.taken(number[part])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), segment)), pa.array(np.repeat(own[part], n[part])), pa.array(at)], names=["segment", "window", "anchor"])
-
-    rarest = ranked.select(bucket_of(F.col("rare")[0]["term"]), F.col("rare")[0]["term"].alias("term"), "window")
-    both = by_bucket(index, rarest, most)
-    return both.select("segment", "terms", "sizes", "places", "term", "window").mapInArrow(run, "segment long, window long, anchor long")
-
-
-def intersected(index: Index, found: DataFrame, ranked: DataFrame, start: int, n: int, slop: int = 0) -> DataFrame:
-    """Of found (segment, window, anchor) those with n of the window's terms (from the start-th on, rarest first) within slop of their places; exact: all without slop."""
+            for kinds, sizes in zip(batch.column("terms"), batch.column("sizes")):
+                total[np.frombuffer(kinds.as_py(), "<u4")] += np.frombuffer(sizes.as_py(), "<u4")
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
+
+    found = index.select("terms", "sizes").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(n_terms, np.int64)
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+class Segment:
+    def __init__(self, row: dict, n_terms: int):
+        kinds, sizes = (np.frombuffer(row[k], "<u4").astype(np.int64) for k in ("terms", "sizes"))
+        self.postings = np.frombuffer(row["postings"], "<u4").astype(np.int64)
+        self.size = np.zeros(n_terms, np.int64)
+        self.size[kinds] = sizes
+        self.first = np.zeros(n_terms, np.int64)
+        self.first[kinds] = np.cumsum(sizes) - sizes
+        self.keys = (np.repeat(kinds, sizes) << 32) | self.postings
+        self.n_words = np.array(row["n_words"], np.int64)
+        self.base = np.cumsum(self.n_words) - self.n_words + GAP * np.arange(1, len(self.n_words) + 1)
+
+    def holds(self, term: np.ndarray, place: np.ndarray, slop: int = 0) -> np.ndarray:
+        """Which places (give or take slop) are in the terms' posting lists."""
+        term = term.astype(np.int64)
+        low = (term << 32) | np.maximum(place - slop, 0)
+        at = np.minimum(np.searchsorted(self.keys, low), len(self.keys) - 1)
+        found = self.keys[at]
+        return (found >= low) & (found <= ((term << 32) | (place + slop)))
+
+    def search(self, rows: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of exact matches the windows and first places, of proximity matches the windows and documents. rare: places of each window's terms, rarest first."""
+        none = np.zeros(0, np.int64)
+        exact, near = [(none, none)], [(none, none)]
+        if not len(self.keys):
+            return *exact[0], *near[0]
+        width = rows.shape[1]
+        few = min(RARE_TERMS, width)
+        size = np.take_along_axis(self.size[rows], rare, axis=1)
+        alive = np.flatnonzero(size[:, :few].min(axis=1) > 0)
+        load = np.cumsum(size[alive, 0])
+        cut = [0, *np.searchsorted(load, np.arange(CANDIDATES, int(load[-1]) if len(load) else 0, CANDIDATES)).tolist(), len(alive)]
+        for a, b in zip(cut[:-1], cut[1:]):
+            own = alive[a:b]
+            n = size[own, 0]
+            window = np.repeat(own, n)
+            anchor = rows[own, rare[own, 0]]
+            start = self.postings[np.repeat(self.first[anchor] - (np.cumsum(n) - n), n) + np.arange(n.sum())] - rare[window, 0]
+            w, s = window, start
+            for j in range(1, width):
+                spot = rare[w, j]
+                keep = self.holds(rows[w, spot], s + spot)
+                w, s = w[keep], s[keep]
+            exact.append((w, s))
+            w, s = window, start
+            for j in range(1, few):
+                spot = rare[w, j]
+                keep = self.holds(rows[w, spot], s + spot, SLOP)
+                w, s = w[keep], s[keep]
+            pairs = np.unique(np.stack([w, self.document(s + rare[w, 0])], axis=1), axis=0)
+            near.append((pairs[:, 0], pairs[:, 1]))
+        return *(np.concatenate(x) for x in zip(*exact)), *(np.concatenate(x) for x in zip(*near))
+
+    def document(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.base, place, "right") - 1
+
+
+def look_up(index: DataFrame, block: TestBlock, total: np.ndarray) -> DataFrame:
+    """A row for every document: runs of hit words (counted in the document), items found exactly and nearly."""
+    shared = index.sparkSession.sparkContext.broadcast((block, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test, totals = shared.value
+        orders = [np.argsort(totals[rows], axis=1, kind="stable") for rows, _, _ in test.windows]
         for batch in batches:
-            for segment, terms, sizes, places, *asked in each(batch):
-                lists, (term, window, anchor, at) = Lists(terms, sizes, places), (np.frombuffer(x, np.int64) for x in asked)
-                hit, number = lists.find(term.view(np.uint64))
-                near = lists.holds(number, at[hit], slop)
-                hit, number = hit[near], number[near]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), segment)), pa.array(window[hit]), pa.array(anchor[hit]), pa.array(lists.holds(number, at[hit], 0))], names=["segment", "window", "anchor", "exact"])
-
-    wanted = F.slice("rare", start + 1, n)
-    joined = found.join(ranked.select("window", F.col("rare")[0]["k"].alias("k0"), wanted.alias("more")), "window")
-    asked = joined.select("segment", "window", "anchor", "k0", F.explode("more").alias("x"))
-    asked = asked.select("segment", bucket_of(F.col("x.term")), F.col("x.term").alias("term"), "window", "anchor", (F.col("anchor") - F.col("k0") + F.col("x.k")).alias("at"))
-    both = index.lists("terms", "sizes", "places").hint("merge").join(packs(asked, ["segment", "bucket"]), ["segment", "bucket"])
-    kept = both.select("segment", "terms", "sizes", "places", "term", "window", "anchor", "at").mapInArrow(run, "segment long, window long, anchor long, exact boolean")
-    counted = kept.groupBy("segment", "window", "anchor").agg(F.count("*").alias("n"), F.count_if("exact").alias("exact"))
-    sized = counted.join(ranked.select("window", F.size(wanted).alias("all")), "window").where(F.col("n") == F.col("all"))
-    alone = joined.where(F.size("more") == 0).select("segment", "window", "anchor", F.lit(True).alias("exact"))
-    return sized.select("segment", "window", "anchor", (F.col("exact") == F.col("all")).alias("exact")).unionByName(alone)
-
-
-# --- documents --------------------------------------------------------------------------------
-
-
-def cover(hits: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
-    """Of a segment: every document with its runs of hit words, and the windows found exactly and nearly. A position starts at most one window of each width."""
-    out: list[pd.DataFrame] = []
-    for segment, n_words, ids in zip(docs["segment"], docs["n_words"], docs["doc_ids"]):
-        n = np.array(n_words, np.int64)
-        base = np.cumsum(n) - n + GAP * np.arange(1, len(n) + 1)
-        exact = hits["exact"].to_numpy(bool)
-        start, width = hits["start"].to_numpy(np.int64)[exact], hits["width"].to_numpy(np.int64)[exact]
-        edge = np.zeros(int(base[-1] + n[-1]) + GAP + 1 if len(n) else 1, np.int64)
-        np.add.at(edge, start, 1)
-        np.add.at(edge, start + width, -1)
-        hit = np.diff((np.cumsum(edge) > 0).astype(np.int8), prepend=0)
-        runs: list[list] = [[] for _ in n]
-        a, b = np.flatnonzero(hit == 1), np.flatnonzero(hit == -1)
-        of = np.searchsorted(base, a, "right") - 1
-        for x, y, d in zip((a - base[of]).tolist(), (b - base[of]).tolist(), of.tolist()):
-            runs[d].append({"start": x, "end": y})
-        doc = np.searchsorted(base, hits["anchor"].to_numpy(np.int64), "right") - 1
-        windows: list[dict] = [{} for _ in n]
-        for d, w, e in zip(doc.tolist(), hits["window"].to_numpy(np.int64).tolist(), exact.tolist()):
-            windows[d][w] = e or windows[d].get(w, False)
-        ids = [None if x is None or x != x else int(x) for x in ids]
-        out.append(pd.DataFrame({"segment": segment, "place": np.arange(len(n)), "doc_id": pd.array(ids, "Int64"), "n_words": n, "runs": runs, "windows": [[{"window": w, "exact": e} for w, e in x.items()] for x in windows]}))
-    return pd.concat(out) if out else pd.DataFrame({x.split()[0]: [] for x in COVER.split(", ")[:4]} | {"runs": [], "windows": []})
-
-
-def items_of(covered: DataFrame, wins: DataFrame) -> DataFrame:
-    """segment, place, and of a document's windows the distinct items found exactly (sorted, a null one last) and nearly."""
-    pairs = covered.select("segment", "place", F.inline("windows")).join(wins.select("window", "item").distinct(), "window")
-    grouped = pairs.groupBy("segment", "place", "item").agg(F.max("exact").alias("exact")).groupBy("segment", "place")
-    some = grouped.agg(F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"), F.array_sort(F.collect_list("item")).alias("near_items"), F.count_if(F.col("exact") & F.col("item").isNull()).alias("none"))
-    return some.withColumn("items", F.when(F.col("none") > 0, F.concat("items", F.expr("cast(array(null) as array<string>)"))).otherwise(F.col("items"))).drop("none")
-
-
-def search(index: Index, benchmark: DataFrame) -> DataFrame:
-    """segment, place, doc_id, n_words, runs (of hit words, counted in the document), items (found exactly) and near_items of every document."""
-    wins = written(test_windows(benchmark))
-    most = wins.count()
-    distinct = wins.dropDuplicates(["window"]).select("window", "width", "terms")
-    lists = restricted(index, distinct.select(F.explode("terms").alias("term")).distinct(), most * WINDOW)
-    total = occurrences(lists)
-    # A window with a term that the corpus lacks is in no document.
-    ranked = distinct.select("window", "width", F.posexplode("terms").alias("k", "term")).join(total, "term")
-    ranked = ranked.groupBy("window", "width").agg(F.array_sort(F.collect_list(F.struct("n", "k", "term"))).alias("rare")).where(F.size("rare") == F.col("width"))
-    ranked = written(ranked)
-    found = written(candidates(lists, ranked, most))
-    close = written(intersected(lists, found, ranked, 1, RARE_TERMS - 1, SLOP))
-    exact = intersected(lists, close.where("exact").drop("exact"), ranked, RARE_TERMS, WINDOW)
-    hits = exact.select("segment", "window", "anchor", F.lit(True).alias("exact")).unionByName(close.select("segment", "window", "anchor", F.lit(False).alias("exact")))
-    hits = hits.join(ranked.select("window", "width", F.col("rare")[0]["k"].alias("k0")), "window").withColumn("start", F.col("anchor") - F.col("k0")).drop("k0")
-    docs = index.rows.where("bucket = -1").select("segment", "doc_ids", "n_words")
-    covered = written(hits.groupBy("segment").cogroup(docs.groupBy("segment")).applyInPandas(cover, COVER))
-    out = covered.join(items_of(covered, wins), ["segment", "place"], "left")
-    empty = F.expr("cast(array() as array<string>)")
-    return out.select("segment", "place", "doc_id", "n_words", "runs", F.coalesce("items", empty).alias("items"), F.coalesce("near_items", empty).alias("near_items"))
+            for row in batch.to_pylist():
+                segment = Segment(row, len(totals))
+                n = len(segment.n_words)
+                items: list[set] = [set() for _ in range(n)]
+                near: list[set] = [set() for _ in range(n)]
+                runs: list[list] = [[] for _ in range(n)]
+                total = int(segment.base[-1] + segment.n_words[-1]) + GAP if n else 0
+                cover = np.zeros(total + 1, np.int64)
+                for (rows, window_of, item_of), rare in zip(test.windows, orders):
+                    w, s, nw, nd = segment.search(rows, rare)
+                    np.add.at(cover, s, 1)
+                    np.add.at(cover, s + rows.shape[1], -1)
+                    first = np.searchsorted(window_of, np.arange(len(rows) + 1))
+                    for window, d, out in ((w, segment.document(s), items), (nw, nd, near)):
+                        pairs = np.unique(np.stack([window, d], axis=1), axis=0)
+                        for x, y in pairs.tolist():
+                            out[y].update(item_of[first[x] : first[x + 1]].tolist())
+                hit = np.diff((np.cumsum(cover) > 0).astype(np.int8), prepend=0)
+                a, b = np.flatnonzero(hit == 1), np.flatnonzero(hit == -1)
+                d = segment.document(a)
+                for x, y, z in zip(a.tolist(), b.tolist(), d.tolist()):
+                    runs[z].append({"start": x - int(segment.base[z]), "end": y - int(segment.base[z])})
+                ids = lambda sets: [{test.ids[i] for i in x} for x in sets]
+                text = lambda sets: pa.array([sorted(x - {None}) + [None] * (None in x) for x in sets], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["segment"]] * n, pa.int64()),
+                        pa.array(range(n), pa.int64()),
+                        pa.array(row["doc_ids"], pa.int64()),
+                        pa.array(segment.n_words, pa.int64()),
+                        pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                        text(ids(items)),
+                        text([x - {None} for x in ids(near)]),
+                    ],
+                    names=["segment", "place", "doc_id", "n_words", "runs", "items", "near_items"],
+                )
+
+    return index.mapInArrow(run, FOUND)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """A row for every document, as of search."""
-    return search(build_index(docs), benchmark)
+    """A row for every document, as in FOUND."""
+    n = n_blocks(benchmark)
+    if n == 1:
+        block = read_block(benchmark, 0, 1)
+        index = written(build_index(docs, block.terms))
+        return look_up(index, block, occurrences(index, len(block.terms)))
+    docs, parts = written(id_text(docs)), []  # the same segments in every pass
+    for i in range(n):
+        block = read_block(benchmark, i, n)
+        index = written(build_index(docs, block.terms))
+        parts.append(written(look_up(index, block, occurrences(index, len(block.terms)))))
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    joined = out.groupBy("segment", "place").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"),
+        *(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near_items")),
+    )
+    merged = """aggregate(runs, cast(array() as array<struct<start:bigint,end:bigint>>), (done, x) ->
+        if(size(done) > 0 and element_at(done, -1).end >= x.start,
+           concat(slice(done, 1, size(done) - 1), array(named_struct('start', element_at(done, -1).start, 'end', greatest(element_at(done, -1).end, x.end)))),
+           concat(done, array(x))))"""
+    return joined.withColumn("runs", F.expr(merged))
 
 
 def summary(found: DataFrame) -> DataFrame:

@@ -371,36 +371,23 @@ def test_decontamination(spark, docs, table, data):
     assert decontaminated(spark, table[0], items) == brute.contamination(table[1], dict(items))
 
 
-def test_decontamination_without_broadcasts(spark, docs, monkeypatch):
-    """A test set beyond the size that is broadcast, many segments, and packs of a few rows give the same."""
-    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 10)
-    monkeypatch.setattr(decontamination, "SEGMENT_BYTES", 300)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
-    try:
-        assert decontaminated(spark, docs, rows.ITEMS) == brute.contamination(TEXTS, dict(rows.ITEMS))
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-
-
-def test_an_index_is_searched_again(spark, docs):
-    index = decontamination.build_index(docs)
-    for items in (rows.ITEMS[:3], rows.ITEMS[3:]):
-        benchmark = spark.createDataFrame(items, "item_id long, text string")
-        got = by_id(decontamination.summary(decontamination.search(index, benchmark)), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-        assert got == brute.contamination(TEXTS, dict(items))
-
-
-@pytest.mark.parametrize("most", [1 << 20, 5])
-def test_repeated_and_null_item_ids(spark, monkeypatch, most):
+def test_decontamination_in_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 300)
+    assert decontaminated(spark, docs, rows.ITEMS) == brute.contamination(TEXTS, dict(rows.ITEMS))
+
+
+@pytest.mark.parametrize("block", [16 << 20, 300])
+def test_repeated_and_null_item_ids(spark, monkeypatch, block):
     import duckdb
 
-    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", most)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
     passages = [rows.prose(i, 30) for i in range(200, 204)]
     texts = [*(f"{rows.prose(300 + i, 20)} {p}" for i, p in enumerate(passages)), " ".join(passages), rows.prose(310, 40)]
     items = [(1, passages[0]), (1, passages[0]), (1, passages[1]), (2, passages[1]), (None, passages[1]), (None, passages[2]), (None, passages[3]), (None, passages[3]), (3, "never seen words here")]
     df = rows.documents(spark, texts, extra=False)
     got = decontaminated(spark, df, items)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert (decontamination.n_blocks(benchmark) > 1) == (block == 300)
     assert got[1][1:4] == (30, 1, brute.sha("1")) and got[2][1:4] == (30, 3, brute.sha("1,2")) and got[5][1:4] == (120, 3, brute.sha("1,2"))
     assert got[3][1:] == got[4][1:] == (30, 1, brute.sha(""), True) and got[6][4] is False
     with duckdb.connect() as db:
