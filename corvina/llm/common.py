@@ -20,9 +20,11 @@ def id_text(docs: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path in the folder that the whole cluster shares (spark.checkpoint.dir); a local one only where that is unset."""
+    """A new path in the folder that the whole cluster shares (spark.checkpoint.dir); where that is unset a local one, and an error if the master is not local."""
     base = spark.conf.get("spark.checkpoint.dir", "") or (spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None) if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else "")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         base = "file://" + os.path.join(tempfile.gettempdir(), "corvina-checkpoints")
     return f"{base.rstrip('/')}/corvina-{uuid.uuid4().hex}"
 

@@ -15,8 +15,10 @@ times the input to disk, so the order of all suffixes is induced from a sample,
    each) do that by window hash over all tasks instead of in one.
 
 Within a map task, all but the first of equal runs are settled before the shuffle. Spark's sorts
-and shuffles spill to disk, so no shard has to fit in memory. The result is exact (64-bit hashes
-of windows aside, which are compared only among windows with equal anchors).
+and shuffles spill to disk, so no shard has to fit in memory. The result is exact but for hashes:
+windows are compared by 64 bits, among those with equal anchors only; in the shuffle an anchor keeps 48
+to 56 bits and a run 48, so n different runs at one anchor make an error with a probability of about
+n ** 2 / 2 ** 49.
 
 Nulls and empty texts have no bytes. Rows with a null doc_id stay whole and are no source for
 others. Rows that repeat a doc_id count as one document: the same place in both is not earlier,

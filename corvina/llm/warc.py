@@ -1,8 +1,9 @@
 """WARC archives with revisit records.
 
-Headers (not payloads) are shuffled by payload digest. Of records with equal payloads of at least
-MIN_BYTES bytes the one of smallest page_id is the original response; the others are joined to it
-and become revisit records. Deduplicated archives are then written with fresh headers by Spark's
+Headers are shuffled by payload digest to find originals: of records with equal payloads of at least
+MIN_BYTES bytes the one of smallest page_id is the original response. Whole records are then joined to
+originals by digest, which moves payloads once where originals are too many to be broadcast; the others
+become revisit records. Deduplicated archives are then written with fresh headers by Spark's
 text writer (one archive for each task and MAX_RECORDS records, gzip), and read back from the
 files alone; what a revisit refers to is found again by joining revisits to original responses.
 
