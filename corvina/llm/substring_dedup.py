@@ -1,24 +1,25 @@
-"""Removal of repeated byte strings, by sorting a content-defined sample of suffixes and inducing the rest.
+"""Removal of repeated byte strings, by content-anchored window hashes.
 
 A byte goes if a LENGTH-byte string that covers it also starts earlier in the corpus (smaller
-doc_id, or same document and earlier start). Sorting a suffix tuple for every byte would write many
-times the input to disk, so the order of all suffixes is induced from a sample, as in induced sorting:
+doc_id, or same document and earlier start). External induced sorting of all suffixes, the method
+dealt, writes a tuple for each of them several times over, which is many times the input on disk (see
+README for figures). Here no suffix array is made: windows of equal bytes are brought together by hashes.
 
 1. Every LENGTH-byte window has one anchor, the least of the hashes of its GRAM-byte strings (the
-   leftmost of equals). Equal windows have the same anchor at the same place, so only suffixes at
-   anchors (about one in 35) are sorted; consecutive windows with one anchor form a run.
-2. Anchors are spread by hash range and sorted by (anchor string, bytes of the whole run, document,
-   place). All but the first of equal runs are repeats in every window: the order of those windows
-   is induced from their anchors, without looking at one of them.
+   leftmost of equals). Equal windows have the same anchor at the same place; consecutive windows
+   with one anchor (about 35) form a run.
+2. Runs are spread by the hash of their anchor's string and sorted by (anchor, hash of the whole run,
+   document, place). All but the first of equal runs are repeats in every window, without looking
+   at one of them.
 3. Where runs with one anchor string differ, the runs' first occurrences are read again and their
-   windows sorted one by one; anchors with more than WIDE different runs (of up to 69 windows
+   windows compared one by one; anchors with more than WIDE different runs (of up to 69 windows
    each) do that by window hash over all tasks instead of in one.
 
 Within a map task, all but the first of equal runs are settled before the shuffle. Spark's sorts
 and shuffles spill to disk, so no shard has to fit in memory. The result is exact but for hashes:
-windows are compared by 64 bits, among those with equal anchors only; in the shuffle an anchor keeps 48
-to 56 bits and a run 48, so n different runs at one anchor make an error with a probability of about
-n ** 2 / 2 ** 49.
+anchors, runs and windows are each compared by 64 bits, runs and windows among those with equal
+anchors only, so n different runs at one anchor make an error with a probability of about
+n ** 2 / 2 ** 65.
 
 Nulls and empty texts have no bytes. Rows with a null doc_id stay whole and are no source for
 others. Rows that repeat a doc_id count as one document: the same place in both is not earlier,
@@ -103,8 +104,7 @@ def run_blobs(docs: DataFrame, buckets: int) -> DataFrame:
         if settled:
             return bucket, True, len(doc), where, b""
         gram, whole = gram[order], whole[order]
-        kept = (gram >> np.uint64(24)).astype("<u4"), (gram >> np.uint64(16)).astype(np.uint8), (whole >> np.uint64(32)).astype("<u4"), (whole >> np.uint64(16)).astype("<u2")
-        return bucket, False, len(doc), where, b"".join(x.tobytes() for x in kept)
+        return bucket, False, len(doc), where, gram.tobytes() + whole.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -163,6 +163,16 @@ def _unpacked(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return doc, lo, lo + more, back
 
 
+def joined_ranges(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same starts in fewer ranges: those that meet or overlap become one."""
+    order = np.lexsort((hi, lo, doc))
+    doc, lo, hi = doc[order], lo[order], hi[order]
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1] + 1)
+    first = np.flatnonzero(fresh)
+    return doc[first], lo[first], np.maximum.reduceat(hi, first) if len(first) else hi
+
+
 def compare_runs(frame: pd.DataFrame, wide: int = WIDE) -> pd.DataFrame:
     """Of a bucket: kind 0, repeated runs; kind 1, first runs of anchors that have several; kind 2, of more than `wide`."""
     done = _unpacked(frame[frame["settled"]])
@@ -170,9 +180,9 @@ def compare_runs(frame: pd.DataFrame, wide: int = WIDE) -> pd.DataFrame:
     doc, lo, hi, back = _unpacked(mine)
     gram, whole = [], []
     for n, raw in zip(mine["n"], mine["hashes"]):
-        gram.append(np.frombuffer(raw, "<u4", n).astype(np.uint64) << np.uint64(8) | np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64))
-        whole.append(np.frombuffer(raw, "<u4", n, 5 * n).astype(np.uint64) << np.uint64(16) | np.frombuffer(raw, "<u2", n, 9 * n).astype(np.uint64))
-    out = [(np.zeros(len(done[0]), np.int32), np.zeros(len(done[0]), np.int64), *done)]
+        gram.append(np.frombuffer(raw, np.uint64, n))
+        whole.append(np.frombuffer(raw, np.uint64, n, 8 * n))
+    repeated, out = [done[:3]], []
     if len(doc):
         gram, whole = np.concatenate(gram), np.concatenate(whole)
         _, group, count = np.unique(gram, return_inverse=True, return_counts=True)
@@ -186,10 +196,13 @@ def compare_runs(frame: pd.DataFrame, wide: int = WIDE) -> pd.DataFrame:
         later = (doc != doc[first]) | (lo != lo[first])
         classes = np.bincount(group[fresh]) if len(doc) else np.zeros(0, np.int64)
         several = fresh & (classes[group] > 1) if len(doc) else fresh
-        key = (gram << np.uint64(16)).view(np.int64) | np.int64(int(frame["bucket"].iloc[0]) & 0xFFFF)
-        out.append((np.zeros(later.sum(), np.int32), key[later], doc[later], lo[later], hi[later], back[later]))
+        key = gram.view(np.int64)
+        repeated.append((doc[later], lo[later], hi[later]))
         kind = np.where(classes[group[several]] > wide, 2, 1).astype(np.int32) if len(doc) else np.zeros(0, np.int32)
         out.append((kind, key[several], doc[several], lo[several], hi[several], back[several]))
+    doc, lo, hi = joined_ranges(*(np.concatenate(x) for x in zip(*repeated)))
+    zeros = np.zeros(len(doc), np.int64)
+    out.append((zeros.astype(np.int32), zeros, doc, lo, hi, zeros))
     columns = [np.concatenate(x) for x in zip(*out)]
     return pd.DataFrame(dict(zip(("kind", "key", "doc_id", "lo", "hi", "back"), columns)))
 

@@ -233,6 +233,20 @@ def test_repeats(corpus):
     assert by_id(substring_dedup.dedup_substrings(df), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(texts)
 
 
+def test_repeats_within_a_text_of_one_letter(spark):
+    n = 300_000
+    docs = spark.createDataFrame([(1, "a" * n), (2, "b" * 99)], "doc_id long, text string")
+    # Every window is a run of its own; what reaches the document's row are ranges of many of them.
+    assert substring_dedup.repeated_spans(docs).count() < n / 1000
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in substring_dedup.dedup_substrings(docs).collect()}
+    assert got == {1: (n - 1, 1), 2: (0, 0)}
+
+
+def test_joined_ranges():
+    got = substring_dedup.joined_ranges(*(np.array(x) for x in ([2, 1, 1, 1, 1], [0, 4, 0, 0, 9], [3, 5, 3, 3, 9])))
+    assert [x.tolist() for x in got] == [[1, 1, 2], [0, 9, 0], [5, 9, 3]]
+
+
 def test_parts_end_with_a_key():
     import pyarrow as pa
 
